@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.numbers import mean, percentage
 
-GRAIN = ("route_id", "window_start")
+# The time leads: sorts for merge joins and text aggregates then compare numbers first.
+GRAIN = ("window_start", "route_id")
 SEVERITIES = tuple(label for _, label in fv.DELAY_BOUNDS) + (fv.DELAY_OVER,)
 HEADER_SEPARATOR = " | "
 
@@ -100,7 +101,8 @@ def alert_count_by_window(alerts: DataFrame) -> DataFrame:
 
 def worst_severity(alerts: DataFrame) -> DataFrame:
     """The last severity label in alphabetical order (labels carry no rank)."""
-    return alerts.groupBy(*GRAIN).agg(F.max("severity").alias("worst_severity"))
+    labels = alerts.select(*GRAIN, "severity").distinct()
+    return labels.groupBy(*GRAIN).agg(F.max("severity").alias("worst_severity"))
 
 
 def alert_headers(alerts: DataFrame) -> DataFrame:

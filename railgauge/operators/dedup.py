@@ -13,29 +13,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK = "_rank"
+KEY_HASH = "_key_hash"
 
 
-def top1(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
-    """The first row of each key; null keys form a group of their own."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(RANK, F.row_number().over(window)).filter(F.col(RANK) == 1).drop(RANK)
+def top1(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep_hash: bool = False
+) -> DataFrame:
+    """The first row of each key; null keys form a group of their own.
 
+    A 64-bit hash leads the partition columns: the sorts on both sides of the shuffle then
+    compare numbers and look at the (text) keys only where hashes are equal. ``keep_hash``
+    leaves it on the rows for a later join on the same keys.
+    """
+    window = Window.partitionBy(KEY_HASH, *keys).orderBy(*order)
+    ranked = df.withColumn(KEY_HASH, F.xxhash64(*keys)).withColumn(RANK, F.row_number().over(window))
+    first = ranked.filter(F.col(RANK) == 1).drop(RANK)
+    return first if keep_hash else first.drop(KEY_HASH)
 
-def remaining(df: DataFrame, used: Sequence[str], descending: bool = False) -> list[Column]:
-    """Every other column as a tie-break, so that equal ranks can only be equal rows."""
-    direction = F.desc if descending else F.asc
-    return [direction(column) for column in df.columns if column not in used]
 
+def ordered_by(df: DataFrame, *columns: str, descending: Sequence[str] = ()) -> list[Column]:
+    """Sort columns, as far as the frame has them."""
+    return [F.desc(column) if column in descending else F.asc(column) for column in columns if column in df.columns]
 
-def keep_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The first row of each key in input order.
 
-    Input order is ``feed_seq`` where the rows carry it; rows without it (and rows of other
-    snapshots) follow event time, then all other columns.
-    """
-    lead = [column for column in ("event_time", "feed_seq") if column in df.columns]
-    order = [F.asc(column) for column in lead if column not in keys]
-    return top1(df, keys, order + remaining(df, [*keys, *lead]))
+def remaining(df: DataFrame, used: Sequence[str]) -> list[str]:
+    return [column for column in df.columns if column not in used]
 
 
 DELAY_KEY = ("vehicle_id", "trip_id", "stop_id", "source_file")
@@ -45,36 +47,55 @@ POSITION_KEY = ("vehicle_id", "trip_id", "stop_id", "mta_timestamp")
 ALERT_ROUTE_KEY = ("alert_id", "route_id")
 WEATHER_HOUR_KEY = ("obs_hour",)
 
+INPUT_ORDER = ("event_time", "source_file", "feed_seq")
+
+
+def keep_first(
+    df: DataFrame, keys: Sequence[str], every_column: bool = False, keep_hash: bool = False
+) -> DataFrame:
+    """The first row of each key in input order: by snapshot, then by place in the snapshot.
+
+    ``feed_seq`` makes that order total. Frames without it are ordered by all their columns, as
+    are frames for which ``every_column`` asks; both make the scan read every column.
+    """
+    ties = remaining(df, (*keys, *INPUT_ORDER)) if every_column or "feed_seq" not in df.columns else []
+    lead = [column for column in INPUT_ORDER if column not in keys]
+    return top1(df, keys, ordered_by(df, *lead, *ties), keep_hash)
+
+
+# Ties below are between rows that state the same key at the same time. They are broken by the
+# file and by the few columns a reader can tell such rows apart by. Longer columns stay out of
+# the order, so that a query which does not show them does not read them either.
+
 
 def earliest_delay(df: DataFrame) -> DataFrame:
     """Per vehicle, trip, stop and file: the earliest report."""
-    return top1(df, DELAY_KEY, [F.asc("event_time"), *remaining(df, [*DELAY_KEY, "event_time"])])
+    return top1(df, DELAY_KEY, ordered_by(df, "event_time", "route_id", "arrival_delay", "departure_delay"))
 
 
 def latest_alert(df: DataFrame) -> DataFrame:
     """Per alert and route: the newest snapshot."""
-    used = [*ALERT_ROUTE_KEY, "event_time"]
-    return top1(df, ALERT_ROUTE_KEY, [F.desc("event_time"), *remaining(df, used, descending=True)])
+    newest = ("event_time", "source_file")
+    order = ordered_by(df, *newest, "severity", "header", "start_time", "end_time", descending=newest)
+    return top1(df, ALERT_ROUTE_KEY, order)
 
 
 def latest_position(df: DataFrame) -> DataFrame:
     """Per vehicle, trip, stop and vehicle time: the newest snapshot."""
-    used = [*POSITION_KEY, "event_time"]
-    return top1(df, POSITION_KEY, [F.desc("event_time"), *remaining(df, used, descending=True)])
+    newest = ("event_time", "source_file")
+    return top1(df, POSITION_KEY, ordered_by(df, *newest, "route_id", "headway_gap_sec", descending=newest))
 
 
 def latest_observation(df: DataFrame) -> DataFrame:
     """Per hour: the latest weather time, then the newest snapshot."""
-    lead = ["weather_timestamp", "event_time", "source_file"]
-    order = [F.desc(column) for column in lead if column in df.columns]
-    return top1(df, WEATHER_HOUR_KEY, order + remaining(df, [*WEATHER_HOUR_KEY, *lead], descending=True))
+    newest = ("weather_timestamp", "event_time", "source_file")
+    return top1(df, WEATHER_HOUR_KEY, ordered_by(df, *newest, descending=newest))
 
 
 def latest_weather_snapshot(df: DataFrame) -> DataFrame:
     """Per hour: the newest snapshot, then the latest weather time."""
-    lead = ["event_time", "weather_timestamp", "source_file"]
-    order = [F.desc(column) for column in lead if column in df.columns]
-    return top1(df, WEATHER_HOUR_KEY, order + remaining(df, [*WEATHER_HOUR_KEY, *lead], descending=True))
+    newest = ("event_time", "weather_timestamp", "source_file")
+    return top1(df, WEATHER_HOUR_KEY, ordered_by(df, *newest, descending=newest))
 
 
 def longest_running(alerts: DataFrame) -> DataFrame:

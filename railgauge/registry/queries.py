@@ -595,40 +595,45 @@ def processed_weather_local(spark, sf_dir):
     return processing.clean_weather(views.raw_weather(spark, sf_dir), "America/New_York")
 
 
-def _staged_delays(spark, sf_dir):
-    return staging.stg_delays(views.twice(views.delays(spark, sf_dir)), views.stops(spark, sf_dir))
+def once(df: DataFrame) -> DataFrame:
+    """The rows of a single run."""
+    return df
 
 
-def _staged_alerts(spark, sf_dir):
-    return staging.stg_alerts(views.twice(views.alerts(spark, sf_dir)), ROUTES)
+def _staged_delays(spark, sf_dir, runs=once):
+    return staging.stg_delays(runs(views.delays(spark, sf_dir)), views.stops(spark, sf_dir))
 
 
-def _staged_positions(spark, sf_dir):
-    return staging.stg_positions(views.twice(views.positions(spark, sf_dir)), ROUTES)
+def _staged_alerts(spark, sf_dir, runs=once):
+    return staging.stg_alerts(runs(views.alerts(spark, sf_dir)), ROUTES)
 
 
-def _staged_weather(spark, sf_dir):
-    return staging.stg_weather(views.twice(views.weather(spark, sf_dir)))
+def _staged_positions(spark, sf_dir, runs=once):
+    return staging.stg_positions(runs(views.positions(spark, sf_dir)), ROUTES)
+
+
+def _staged_weather(spark, sf_dir, runs=once):
+    return staging.stg_weather(runs(views.weather(spark, sf_dir)))
 
 
 @query
 def stg_delays(spark, sf_dir):
-    return _staged_delays(spark, sf_dir)
+    return _staged_delays(spark, sf_dir, views.twice)
 
 
 @query
 def stg_alerts(spark, sf_dir):
-    return _staged_alerts(spark, sf_dir)
+    return _staged_alerts(spark, sf_dir, views.twice)
 
 
 @query
 def stg_positions(spark, sf_dir):
-    return _staged_positions(spark, sf_dir)
+    return _staged_positions(spark, sf_dir, views.twice)
 
 
 @query
 def stg_weather(spark, sf_dir):
-    return _staged_weather(spark, sf_dir)
+    return _staged_weather(spark, sf_dir, views.twice)
 
 
 def _fact(spark, sf_dir):
@@ -661,24 +666,24 @@ def dim_weather_conditions(spark, sf_dir):
     return marts.dim_weather_conditions(_staged_weather(spark, sf_dir))
 
 
-def _features(spark, sf_dir, deduplicate=True):
+def _features(spark, sf_dir, runs=once, deduplicate=True):
     return marts.combined_features(
-        views.twice(views.delays(spark, sf_dir)),
-        views.twice(views.alerts(spark, sf_dir)),
-        views.twice(views.weather(spark, sf_dir)),
-        views.twice(views.positions(spark, sf_dir)),
+        runs(views.delays(spark, sf_dir)),
+        runs(views.alerts(spark, sf_dir)),
+        runs(views.weather(spark, sf_dir)),
+        runs(views.positions(spark, sf_dir)),
         deduplicate,
     )
 
 
 @query
 def combined_features(spark, sf_dir):
-    return _features(spark, sf_dir)
+    return _features(spark, sf_dir, views.twice)
 
 
 @query
 def combined_features_every_copy(spark, sf_dir):
-    return _features(spark, sf_dir, deduplicate=False)
+    return _features(spark, sf_dir, views.twice, deduplicate=False)
 
 
 # --- reports -----------------------------------------------------------------------------
@@ -769,8 +774,7 @@ def check_all_models(spark, sf_dir):
 def _event_stream(spark, sf_dir):
     """The events table as a file stream. The path is a pattern because a file stream takes a
     folder or a pattern, and the table may be one file or a folder of them."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.{{parquet}}").withColumn("ts", F.col("ts").cast("timestamp"))
+    return spark.readStream.schema(views.EVENTS).parquet(f"{sf_dir}/events.{{parquet}}").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _streamed(view, spark, sf_dir):

@@ -14,6 +14,8 @@ from ..plans import processing
 from ..session import pin_utc
 
 ROUTES = ("click", "error", "purchase", "signup", "view")
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+NATION = "n_nationkey int, n_name string, n_regionkey int"
 AS_OF = "2024-01-20 00:00:00"
 SNAPSHOT_EVENTS = 16
 RESPONSE_HOURS = 24
@@ -25,12 +27,12 @@ def text(column: str | Column) -> Column:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    return spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+    return spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet").select(
         text("n_nationkey").alias("stop_id"),
         F.col("n_name").alias("stop_name"),
         text("n_regionkey").alias("line"),

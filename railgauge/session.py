@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # Keeping the Python call site of every column expression slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
