@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions import classify
+from ..functions.times import instant
 
 
 def on_routes(df: DataFrame, routes: Sequence[str] | None = fv.DEFAULT_ROUTES, column: str = "route_id") -> DataFrame:
@@ -41,9 +43,10 @@ def with_status(
 ) -> DataFrame:
     """Alerts in one of the statuses.
 
-    The status is a CASE the scan cannot use, so what it implies for the start and end times
-    is stated as plain comparisons too.
+    The status is a CASE the scan cannot use, so what each status implies for the start or end
+    is stated as a plain comparison too; those reach the scan.
     """
-    if "expired" not in statuses:
-        alerts = alerts.filter(classify.is_relevant(as_of=as_of))
-    return alerts.filter(classify.alert_status(as_of=as_of).isin(*statuses))
+    now, start, end = instant(as_of), F.col("start_time"), F.col("end_time")
+    implied = {"upcoming": start > now, "ongoing": end.isNull(), "active": end > now, "expired": end <= now}
+    possible = reduce(Column.__or__, [implied[status] for status in statuses])
+    return alerts.filter(possible).filter(classify.alert_status(as_of=now).isin(*statuses))

@@ -64,7 +64,7 @@ def _attach_gaps(marked: DataFrame, places: Sequence[Column], at: Column, cap: i
     """Add the gap to rows marked with their identity and its hash."""
     names = [f"_place{i}" for i in range(len(places))]
     timed = marked.select("_id", at.alias("_at"), *[place.alias(name) for name, place in zip(names, places)])
-    seconds = timed.filter(F.col("_at").isNotNull()).groupBy("_at", *names).agg(F.min("_id").alias("_id"))
+    seconds = timed.groupBy("_at", *names).agg(F.min("_id").alias("_id"))
     gaps = _second_gaps(seconds, names) if cap is None else _second_gaps_capped(seconds, names, cap)
     firsts = gaps.select(F.xxhash64("_id").alias(KEY_HASH), "_id", "_gap", F.lit(True).alias("_first"))
     same_second = F.when(at.isNotNull(), F.lit(0.0))

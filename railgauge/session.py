@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Timestamps with file statistics, so that scans can skip on them.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
     # Keeping the Python call site of every column expression slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
