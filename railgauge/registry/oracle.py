@@ -689,6 +689,16 @@ SQL: dict[str, str] = {
     "stream_headway": table("positions"),
 }
 
+SQL["landed_feed_scan"] = SQL["explode_stop_updates"]
+SQL["landed_json_scan"] = SQL["explode_vehicles"]
+SQL["report_preview"] = table("features", "*", "ORDER BY window_start DESC, route_id LIMIT 10")
+SQL["stream_named_delays"] = using(
+    "raw_delays",
+    "stops",
+    query="""
+    SELECT feed_seq, d.stop_id, stop_name, direction, event_time
+    FROM raw_delays d LEFT JOIN stops s ON s.stop_id = d.stop_id""",
+)
 SQL["stream_features"] = using(
     "known_delays",
     "raw_alerts",

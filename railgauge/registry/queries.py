@@ -170,6 +170,22 @@ def weather_union_shapes(spark, sf_dir):
     return weather_source.load_raw_weather(views.weather_responses(spark, sf_dir)).drop("feed_seq")
 
 
+@query
+def landed_feed_scan(spark, sf_dir):
+    """Snapshots written to a landing folder and read back from all its sub-folders."""
+    root = scratch_dir(spark, "landing")
+    sinks.land_snapshots(views.feed(spark, sf_dir), root)
+    return feeds.load_raw_delays(feeds.read_feed(spark, root), ROUTES).drop("feed_seq")
+
+
+@query
+def landed_json_scan(spark, sf_dir):
+    """The same snapshots landed as JSON text."""
+    root = scratch_dir(spark, "landing")
+    sinks.land_snapshots(views.feed(spark, sf_dir), root, fmt="json")
+    return feeds.load_raw_positions(feeds.read_feed(spark, root, "json", "*.json"), ROUTES).drop("feed_seq")
+
+
 # --- sources and sinks -------------------------------------------------------------------
 
 
@@ -719,6 +735,12 @@ def report_heat(spark, sf_dir):
     return reports.extreme_heat_windows(_features(spark, sf_dir))
 
 
+@query
+def report_preview(spark, sf_dir):
+    """The first rows of the listing, as a log line shows them."""
+    return reports.preview(reports.newest_first(_features(spark, sf_dir)), 10)
+
+
 @query
 def report_all(spark, sf_dir):
     return reports.newest_first(_features(spark, sf_dir))
@@ -822,6 +844,16 @@ def stream_alert_counts(spark, sf_dir):
     return _stream_alert_windows(spark, sf_dir)
 
 
+@query
+def stream_named_delays(spark, sf_dir):
+    """Stop names joined onto each micro-batch."""
+    root = scratch_dir(spark, "stream")
+    named = stream_windows.named_delays_stream(_streamed(views.raw_delays, spark, sf_dir), views.stops(spark, sf_dir))
+    stream_sinks.drain(named, stream_sinks.changes_to(f"{root}/rows"), f"{root}/checkpoint", "append")
+    rows = spark.read.parquet(f"{root}/rows")
+    return rows.select("feed_seq", "stop_id", "stop_name", "direction", "event_time")
+
+
 @query
 def stream_headway(spark, sf_dir):
     return _stream_positions(spark, sf_dir)

@@ -19,6 +19,21 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# What a large cluster adds; pass as ``conf`` and adjust to the input. Adaptive execution merges
+# the many initial shuffle partitions down to the advisory size, so the number only has to be
+# high enough for the biggest shuffle (100 TB in 128 MB pieces is about 800,000; fewer will do, as
+# every operator here reduces rows or columns before it shuffles). Streams keep their state in
+# RocksDB, outside the heap.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
 
 def build_session(app_name: str = "railgauge", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings the library relies on; ``conf`` overrides them."""

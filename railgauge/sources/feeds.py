@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from .. import schemas
 from ..functions.times import from_epoch
+from .scan import load_or_empty
 
 
 def read_feed(spark: SparkSession, path: str, fmt: str = "parquet", glob: str | None = None, **options: str) -> DataFrame:
@@ -28,7 +29,7 @@ def read_feed(spark: SparkSession, path: str, fmt: str = "parquet", glob: str |
     reader = spark.read.schema(schemas.FEED).format(fmt).option("recursiveFileLookup", "true").options(**options)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return with_lineage(reader.load(path))
+    return load_or_empty(spark, lambda: with_lineage(reader.load(path)), schemas.FEED)
 
 
 def stream_feed(
@@ -56,6 +57,7 @@ def decode_binary_feed(files: DataFrame, descriptor_file: str, message: str = "F
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
+    """Add the file each row was read from, where the rows do not state their source."""
     path = F.col("_metadata.file_path")
     if "source_file" in df.columns:
         return df.withColumn("source_file", F.coalesce("source_file", path))

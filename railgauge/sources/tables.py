@@ -8,9 +8,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
+from .scan import load_or_empty
 
 # Layout columns the writers add; readers prune on them and leave them out of the contract.
 RUN_COLUMN = "run_id"
@@ -37,12 +37,7 @@ def read_processed(
     ``since`` and ``until`` (inclusive) prune whole date folders before any file is opened.
     """
     layout = f"{schema.rstrip()}, {RUN_COLUMN} string, {DATE_COLUMN} date"
-    try:
-        table = spark.read.schema(layout).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    table = load_or_empty(spark, lambda: spark.read.schema(layout).parquet(path), layout)
     if since is not None:
         table = table.filter(F.col(DATE_COLUMN) >= F.lit(since).cast("date"))
     if until is not None:

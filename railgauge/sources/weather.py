@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.times import file_instant
+from .scan import load_or_empty
 
 # Response field to table column.
 MEASURES = {
@@ -18,24 +19,29 @@ MEASURES = {
 }
 
 
-def read_weather(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+def read_weather(spark: SparkSession, path: str, glob: str = "*.json", multi_line: bool = False) -> DataFrame:
     """All responses below ``path`` with their file and poll time.
 
-    The poll time comes from the file (its name, else its modification time), so that
+    One response per line; ``multi_line`` reads responses written over several lines, one per
+    file. The poll time comes from the file (its name, else its modification time), so that
     reading the same files again gives the same rows.
     """
-    responses = (
+    reader = (
         spark.read.schema(schemas.WEATHER_RESPONSE)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
-        .option("multiLine", "true")
-        .json(path)
+        .option("multiLine", str(multi_line).lower())
     )
-    path_column = F.col("_metadata.file_path")
+    empty = f"{schemas.WEATHER_RESPONSE.rstrip()}, source_file string, event_time timestamp"
+    return load_or_empty(spark, lambda: _with_poll(reader.json(path)), empty)
+
+
+def _with_poll(responses: DataFrame) -> DataFrame:
+    path = F.col("_metadata.file_path")
     return responses.select(
         "*",
-        path_column.alias("source_file"),
-        file_instant(path_column, F.col("_metadata.file_modification_time")).alias("event_time"),
+        path.alias("source_file"),
+        file_instant(path, F.col("_metadata.file_modification_time")).alias("event_time"),
     )
 
 

@@ -13,7 +13,7 @@ from railgauge.registry import views
 
 QUERIES = queries()
 STREAMS = [name for name in QUERIES if name.startswith("stream_")]
-WRITERS = ["seed_scan", "roundtrip_write_validate", "overwrite_features", "materialize_view_table", "source_catalog"]
+WRITERS = ["landed_feed_scan", "landed_json_scan", "seed_scan", "roundtrip_write_validate", "overwrite_features", "materialize_view_table", "source_catalog"]
 
 
 def plan_of(df):

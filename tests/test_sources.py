@@ -121,10 +121,11 @@ HOURLY = {
 }
 
 
-def test_weather_shapes(spark, tmp_path):
+@pytest.mark.parametrize("indent", [None, 2])
+def test_weather_shapes(spark, tmp_path, indent):
     (tmp_path / "weather_20260610_155719.json").write_text(json.dumps(CURRENT))
-    (tmp_path / "weather_20260610_160000.json").write_text(json.dumps(HOURLY))
-    raw = weather_source.load_raw_weather(weather_source.read_weather(spark, str(tmp_path)))
+    (tmp_path / "weather_20260610_160000.json").write_text(json.dumps(HOURLY, indent=indent))
+    raw = weather_source.load_raw_weather(weather_source.read_weather(spark, str(tmp_path), multi_line=indent is not None))
     rows = raw.orderBy("event_time", "feed_seq").collect()
     assert [(r.weather_timestamp, r.temperature_c, r.precip_mm) for r in rows] == [
         ("2026-06-10T11:45", 27.1, 0.0),
@@ -207,6 +208,12 @@ def test_table_without_files_is_empty(spark, tmp_path):
     assert spark.table("delays").columns == delay_rows(spark, [1]).columns
 
 
+def test_folders_without_files_are_empty(spark, tmp_path):
+    missing = str(tmp_path / "nothing")
+    assert feeds.load_raw_delays(feeds.read_feed(spark, missing)).isEmpty()
+    assert weather_source.load_raw_weather(weather_source.read_weather(spark, missing)).isEmpty()
+
+
 def test_new_files(spark, tmp_path):
     for name in ("a.json", "b.json", "c.txt"):
         (tmp_path / name).write_text("{}")
