@@ -11,57 +11,68 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.times import from_epoch
 from ..plans.processing import clean_positions
+from ..sources.scan import load_or_empty
 from ..sources.tables import DATE_COLUMN
 from .sinks import BATCH_COLUMN, BatchWriter
 
 ONE_DAY = timedelta(days=1)
+NO_DATE = date(1970, 1, 1)
 
 
 def headway_tables(landing: str, table: str) -> BatchWriter:
-    """A batch writer that keeps ``table`` (positions with gaps, by date of the vehicle time)."""
+    """A batch writer that keeps ``table`` (positions with gaps, by date of the vehicle time).
+
+    Stored rows lie under their date, then their batch: a batch only lists the dates it needs,
+    and a replayed batch replaces exactly its own folders.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own = f"{landing}/{BATCH_COLUMN}={batch_id}"
-        dated = batch.withColumn(DATE_COLUMN, F.to_date(from_epoch("mta_timestamp")))
-        dated.write.mode("overwrite").partitionBy(DATE_COLUMN).parquet(own)
-        touched = _dates(spark, own)
+        stored = batch.withColumns(
+            {DATE_COLUMN: _date_of(from_epoch("mta_timestamp")), BATCH_COLUMN: F.lit(batch_id).cast("bigint")}
+        )
+        _replace_partitions(stored, landing, DATE_COLUMN, BATCH_COLUMN)
+        touched = _dates_of_batch(batch.sparkSession, landing, batch_id)
         if touched:
-            _recompute(spark, landing, table, touched)
+            _recompute(batch.sparkSession, landing, table, touched)
 
     return write
 
 
-def _layout() -> str:
-    return f"{schemas.RAW_POSITIONS.rstrip()}, {DATE_COLUMN} date"
+def _date_of(ts: Column) -> Column:
+    return F.coalesce(F.to_date(ts), F.lit(NO_DATE))
+
+
+def _replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*columns).parquet(path)
+
+
+def _stored(spark: SparkSession, landing: str, pattern: str) -> DataFrame:
+    layout = f"{schemas.RAW_POSITIONS.rstrip()}, {DATE_COLUMN} date, {BATCH_COLUMN} bigint"
+    reader = spark.read.schema(layout).option("basePath", landing)
+    return load_or_empty(spark, lambda: reader.parquet(f"{landing}/{pattern}"), layout)
 
 
-def _dates(spark: SparkSession, path: str) -> set[date]:
-    """The dates of one batch: a handful of folder names, whatever the number of rows."""
-    rows = spark.read.schema(_layout()).parquet(path).select(DATE_COLUMN).distinct().collect()
-    return {row[0] for row in rows if row[0] is not None}
+def _dates_of_batch(spark: SparkSession, landing: str, batch_id: int) -> set[date]:
+    """A handful of folder names, whatever the number of rows."""
+    own = _stored(spark, landing, f"{DATE_COLUMN}=*/{BATCH_COLUMN}={batch_id}")
+    return {row[0] for row in own.select(DATE_COLUMN).distinct().collect()}
 
 
 def _recompute(spark: SparkSession, landing: str, table: str, touched: set[date]) -> None:
     replaced = touched | {day + ONE_DAY for day in touched}
     needed = replaced | {day - ONE_DAY for day in replaced}
-    stored = spark.read.schema(f"{_layout()}, {BATCH_COLUMN} bigint").parquet(landing)
-    rows = stored.filter(F.col(DATE_COLUMN).isin(*needed)).drop(DATE_COLUMN, BATCH_COLUMN)
-    gaps = clean_positions(rows).withColumn(DATE_COLUMN, F.to_date("mta_timestamp"))
-    (
-        gaps.filter(F.col(DATE_COLUMN).isin(*replaced))
-        .hint("rebalance", DATE_COLUMN)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DATE_COLUMN)
-        .parquet(table)
-    )
+    listed = ",".join(sorted(day.isoformat() for day in needed))
+    rows = _stored(spark, landing, f"{DATE_COLUMN}={{{listed}}}").drop(DATE_COLUMN, BATCH_COLUMN)
+    gaps = clean_positions(rows).withColumn(DATE_COLUMN, _date_of(F.col("mta_timestamp")))
+    kept = gaps.filter(F.col(DATE_COLUMN).isin(*replaced)).hint("rebalance", DATE_COLUMN)
+    _replace_partitions(kept, table, DATE_COLUMN)
 
 
 def read_headways(spark: SparkSession, table: str) -> DataFrame:

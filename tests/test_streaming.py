@@ -92,17 +92,28 @@ def test_headway_with_late_batches_and_replay(spark, sf_dir, tmp_path):
     expected = processing.clean_positions(raw)
     same(headway.read_headways(spark, str(tmp_path / "table")), expected)
 
-    batch = spark.read.parquet(str(tmp_path / "in/002"))
-    seen = [
-        spark.read.parquet(str(tmp_path / f"landing/batch_id={i}")).count() for i in range(5)
-    ]
-    replayed = next(i for i in range(5) if seen[i] == batch.count())
-    again = spark.read.schema(schemas.RAW_POSITIONS).parquet(str(tmp_path / f"landing/batch_id={replayed}"))
-    kept = spark.createDataFrame(again.drop("event_date").collect(), schemas.RAW_POSITIONS)
-    writer(kept, replayed)
+    landed = spark.read.schema(f"{schemas.RAW_POSITIONS.rstrip()}, batch_id bigint").parquet(str(tmp_path / "landing"))
+    again = landed.filter("batch_id = 2").drop("batch_id", "event_date").collect()
+    writer(spark.createDataFrame(again, schemas.RAW_POSITIONS), 2)
+    assert landed.count() == 2 * raw.count()
     same(headway.read_headways(spark, str(tmp_path / "table")), expected)
 
 
+def test_headway_keeps_rows_without_time(spark, tmp_path):
+    """Second zero (no time on the wire) and a null time both stay in the table."""
+    t0 = datetime(2024, 1, 1)
+    rows = [
+        ("v1", "t", "J", "A", 1, 2, None, 0, "f", t0, 0),
+        ("v2", "t", "J", "A", 1, 2, None, 5, "f", t0, 1),
+        ("v3", "t", "J", "A", 1, 2, None, None, "f", t0, 2),
+    ]
+    raw = spark.createDataFrame(rows, schemas.RAW_POSITIONS)
+    writer = headway.headway_tables(str(tmp_path / "landing"), str(tmp_path / "table"))
+    writer(raw, 0)
+    writer(raw.limit(0), 1)
+    same(headway.read_headways(spark, str(tmp_path / "table")), processing.clean_positions(raw))
+
+
 def test_features_stream_sends_closed_windows(spark, sf_dir, tmp_path):
     """Append mode: every window the watermark has passed, with the batch values."""
     delays = views.delays(spark, sf_dir)
