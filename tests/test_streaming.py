@@ -92,10 +92,12 @@ def test_headway_with_late_batches_and_replay(spark, sf_dir, tmp_path):
     expected = processing.clean_positions(raw)
     same(headway.read_headways(spark, str(tmp_path / "table")), expected)
 
-    landed = spark.read.schema(f"{schemas.RAW_POSITIONS.rstrip()}, batch_id bigint").parquet(str(tmp_path / "landing"))
-    again = landed.filter("batch_id = 2").drop("batch_id", "event_date").collect()
+    def landed():
+        return spark.read.schema(f"{schemas.RAW_POSITIONS.rstrip()}, batch_id bigint").parquet(str(tmp_path / "landing"))
+
+    again = landed().filter("batch_id = 2").drop("batch_id", "event_date").collect()
     writer(spark.createDataFrame(again, schemas.RAW_POSITIONS), 2)
-    assert landed.count() == 2 * raw.count()
+    assert landed().count() == 2 * raw.count()
     same(headway.read_headways(spark, str(tmp_path / "table")), expected)
 
 
