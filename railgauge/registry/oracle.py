@@ -273,7 +273,10 @@ def using(*names: str, query: str) -> str:
     for name in names:
         visit(name)
     clauses = ",\n".join(f"{name} AS ({RELATIONS[name].strip()})" for name in ordered)
-    return f"WITH {clauses}\n{query.strip()}"
+    body = query.strip()
+    if body.startswith("WITH "):
+        return f"WITH {clauses},\n{body[5:]}"
+    return f"WITH {clauses}\n{body}"
 
 
 def table(name: str, columns: str = "*", tail: str = "") -> str:
@@ -689,6 +692,26 @@ SQL: dict[str, str] = {
     "stream_headway": table("positions"),
 }
 
+SQL["stream_processed_delays"] = using(
+    "snapshot_events",
+    query=f"""
+    WITH updates AS (
+        SELECT CAST(user_id AS VARCHAR) AS vehicle_id, CAST(event_id % 500 AS VARCHAR) AS trip_id,
+               event_type AS route_id, CAST(user_id % 30 AS VARCHAR) AS stop_id, {ARRIVAL} AS arrival_delay,
+               {DEPARTURE} AS departure_delay, 's' || snapshot AS source_file, polled AS event_time,
+               2 * event_id AS place
+        FROM snapshot_events
+        UNION ALL
+        SELECT CAST(user_id AS VARCHAR), CAST(event_id % 500 AS VARCHAR), event_type,
+               CAST((user_id + 1) % 30 AS VARCHAR), {ARRIVAL} + 30, NULL, 's' || snapshot, polled, 2 * event_id + 1
+        FROM snapshot_events
+    ),
+    known AS (SELECT * FROM updates WHERE NOT (arrival_delay IS NULL AND departure_delay IS NULL))
+    SELECT * EXCLUDE (place) REPLACE (
+               coalesce(arrival_delay, 0) AS arrival_delay, coalesce(departure_delay, 0) AS departure_delay),
+           {severity('arrival_delay')} AS delay_severity, {quarter('event_time')} AS window_start
+    FROM ({first_row('known', 'vehicle_id, trip_id, stop_id, source_file', 'place')})""",
+)
 SQL["landed_feed_scan"] = SQL["explode_stop_updates"]
 SQL["landed_json_scan"] = SQL["explode_vehicles"]
 SQL["report_preview"] = table("features", "*", "ORDER BY window_start DESC, route_id LIMIT 10")

@@ -18,6 +18,7 @@ from ..plans import marts, processing, reports, staging
 from ..session import pin_utc, scratch_dir
 from ..sources import feeds, sinks, tables, weather as weather_source
 from ..streaming import headway as stream_headway_tables
+from ..streaming import processing as stream_processing
 from ..streaming import sinks as stream_sinks
 from ..streaming import windows as stream_windows
 from . import views
@@ -859,6 +860,29 @@ def stream_headway(spark, sf_dir):
     return _stream_positions(spark, sf_dir)
 
 
+def _landed(spark, sf_dir):
+    root = scratch_dir(spark, "landing")
+    feed = sinks.land_snapshots(views.feed(spark, sf_dir), f"{root}/feed", "1")
+    weather = sinks.land_snapshots(views.weather_responses(spark, sf_dir), f"{root}/weather", "1")
+    return stream_processing.Landing(feed, feed, feed, weather)
+
+
+def _processed_by_stream(spark, sf_dir):
+    root = scratch_dir(spark, "stream")
+    streams = stream_processing.process_new(
+        spark, _landed(spark, sf_dir), f"{root}/processed", f"{root}/state", ROUTES, "parquet"
+    )
+    for stream in streams:
+        stream.awaitTermination()
+    return tables.open_catalog(spark, f"{root}/processed")
+
+
+@query
+def stream_processed_delays(spark, sf_dir):
+    """Landed snapshots, streamed into the processed tables."""
+    return _processed_by_stream(spark, sf_dir)["delays"]
+
+
 @query
 def stream_features(spark, sf_dir):
     """Three streamed tables joined on the window, hourly weather joined from the side."""

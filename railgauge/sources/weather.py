@@ -18,6 +18,8 @@ MEASURES = {
     "wind_speed_10m": "wind_speed_kmh",
 }
 
+STORED_RESPONSE = f"{schemas.WEATHER_RESPONSE.rstrip()}, source_file string, event_time timestamp"
+
 
 def read_weather(spark: SparkSession, path: str, glob: str = "*.json", multi_line: bool = False) -> DataFrame:
     """All responses below ``path`` with their file and poll time.
@@ -27,21 +29,28 @@ def read_weather(spark: SparkSession, path: str, glob: str = "*.json", multi_lin
     reading the same files again gives the same rows.
     """
     reader = (
-        spark.read.schema(schemas.WEATHER_RESPONSE)
+        spark.read.schema(STORED_RESPONSE)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .option("multiLine", str(multi_line).lower())
     )
-    empty = f"{schemas.WEATHER_RESPONSE.rstrip()}, source_file string, event_time timestamp"
-    return load_or_empty(spark, lambda: _with_poll(reader.json(path)), empty)
+    return load_or_empty(spark, lambda: _with_poll(reader.json(path)), STORED_RESPONSE)
+
+
+def stream_weather(spark: SparkSession, path: str, fmt: str = "json", max_files: int | None = None) -> DataFrame:
+    """New responses as they land."""
+    reader = spark.readStream.schema(STORED_RESPONSE).format(fmt)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _with_poll(reader.load(path))
 
 
 def _with_poll(responses: DataFrame) -> DataFrame:
+    """File and poll time; rows that state theirs (compacted landing files) keep them."""
     path = F.col("_metadata.file_path")
-    return responses.select(
-        "*",
-        path.alias("source_file"),
-        file_instant(path, F.col("_metadata.file_modification_time")).alias("event_time"),
+    polled = file_instant(path, F.col("_metadata.file_modification_time"))
+    return responses.withColumns(
+        {"source_file": F.coalesce("source_file", path), "event_time": F.coalesce("event_time", polled)}
     )
 
 

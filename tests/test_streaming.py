@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from railgauge import schemas
 from railgauge.operators import aggregates, dedup, filters, joins
-from railgauge.plans import marts, processing
+from railgauge.plans import marts, processing, warehouse
 from railgauge.registry import views
 from railgauge.sources import feeds
-from railgauge.streaming import headway, sinks, windows
+from railgauge.sources import sinks as table_sinks
+from railgauge.sources import tables
+from railgauge.streaming import headway, processing as stream_processing, sinks, windows
 
 from compare import spark_rows
 
@@ -65,6 +67,27 @@ def test_alert_windows(spark, sf_dir, tmp_path):
     )
 
 
+def test_polling_trigger(spark, tmp_path):
+    """A running query picks up files as they land."""
+
+    def land_one(number):
+        row = ("v", f"t{number}", "J", "A", 60, 60, "f", datetime(2024, 1, 1, 0, number), number)
+        spark.createDataFrame([row], schemas.RAW_DELAYS).coalesce(1).write.parquet(str(tmp_path / f"in/{number}"))
+
+    land_one(0)
+    stream = windows.delays_by_window_stream(read(spark, tmp_path / "in", schemas.RAW_DELAYS))
+    writer = sinks.changes_to(str(tmp_path / "out"))
+    running = sinks.run_stream(stream, writer, str(tmp_path / "checkpoint"), interval="1 second")
+    try:
+        running.processAllAvailable()
+        land_one(1)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    rows = sinks.latest_changes(spark, str(tmp_path / "out"), list(aggregates.GRAIN)).collect()
+    assert [row.delay_records for row in rows] == [2]
+
+
 def test_late_rows_are_dropped_and_state_is_bounded(spark, tmp_path):
     """A report hours behind the watermark changes nothing."""
     start = datetime(2024, 1, 1)
@@ -159,3 +182,27 @@ def test_named_stream_and_nested_source(spark, sf_dir, tmp_path):
     sinks.drain(named, write, str(tmp_path / "checkpoint"), "append")
     expected = joins.join_stops(feeds.load_raw_delays(feed, views.ROUTES), views.stops(spark, sf_dir))
     same(spark.read.parquet(str(tmp_path / "out")), expected)
+
+
+def test_processing_new_files_equals_processing_everything(spark, sf_dir, tmp_path):
+    """Snapshots landing in three rounds, streamed round by round, against one batch run."""
+    feed, responses = views.feed(spark, sf_dir), views.weather_responses(spark, sf_dir)
+    landing = stream_processing.Landing(*[f"{tmp_path}/feed/*"] * 3, f"{tmp_path}/weather/*")
+
+    def part(df, number):
+        return df.filter(F.pmod(F.hash("source_file"), F.lit(3)) == number)
+
+    for number in (2, 0, 1):
+        table_sinks.land_snapshots(part(feed, number), f"{tmp_path}/feed", str(number))
+        table_sinks.land_snapshots(part(responses, number), f"{tmp_path}/weather", str(number))
+        for stream in stream_processing.process_new(
+            spark, landing, f"{tmp_path}/streamed", f"{tmp_path}/state", views.ROUTES, "parquet"
+        ):
+            stream.awaitTermination()
+
+    snapshots = warehouse.Snapshots(feed, feed, feed, responses)
+    warehouse.process(snapshots, f"{tmp_path}/batch", views.ROUTES)
+    streamed = tables.open_catalog(spark, f"{tmp_path}/streamed")
+    batch = tables.open_catalog(spark, f"{tmp_path}/batch")
+    for name in tables.TABLES:
+        same(streamed[name], batch[name])
