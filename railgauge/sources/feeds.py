@@ -65,11 +65,16 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 
 def _entities(feed: DataFrame, payload: str) -> DataFrame:
-    """One row per entity that carries the payload."""
+    """One row per entity that carries the payload.
+
+    The ids and the payload leave the entities as arrays of their own before they are exploded
+    together: exploding whole entities would make the scan read every payload.
+    """
+    wanted = F.arrays_zip(F.col("entity.id").alias("id"), F.col(f"entity.{payload}").alias(payload))
     exploded = feed.select(
         "source_file",
         from_epoch("header.timestamp").alias("event_time"),
-        F.posexplode("entity").alias("entity_pos", "entity"),
+        F.posexplode(wanted).alias("entity_pos", "entity"),
     )
     return exploded.filter(F.col(f"entity.{payload}").isNotNull())
 

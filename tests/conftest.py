@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         {
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            # Plan tests read whole scan descriptions.
+            "spark.sql.maxMetadataStringLength": "100000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

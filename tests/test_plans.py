@@ -59,7 +59,6 @@ def test_as_of_reaches_the_scan(spark, tmp_path):
 
 def test_features_read_few_columns(spark, tmp_path):
     """Description texts, the widest columns, are not read for the features or the fact."""
-    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     frames = {}
     for name, schema in (
         ("delays", schemas.DELAYS),

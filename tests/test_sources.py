@@ -85,10 +85,20 @@ def test_alerts_from_snapshots(feed):
     assert (third.alert_id, third.header, third.start_time, third.end_time, third.effect) == ("a3", "", None, None, 8)
 
 
-def test_flattening_reads_only_what_it_needs(spark, feed, tmp_path):
+@pytest.mark.parametrize(
+    ("load", "payload", "others"),
+    [
+        (feeds.load_raw_delays, "trip_update:", ("vehicle:", "alert:")),
+        (feeds.load_raw_positions, "vehicle:", ("trip_update:", "alert:")),
+        (feeds.load_raw_alerts, "alert:", ("vehicle:", "trip_update:")),
+    ],
+)
+def test_flattening_reads_only_its_payload(spark, feed, tmp_path, load, payload, others):
     path = sinks.land_snapshots(feed, str(tmp_path))
-    plan = feeds.load_raw_positions(feeds.read_feed(spark, path))._jdf.queryExecution().executedPlan().toString()
-    assert "stop_time_update" not in plan.split("ReadSchema")[1]
+    plan = load(feeds.read_feed(spark, path))._jdf.queryExecution().executedPlan().toString()
+    read = plan.split("ReadSchema")[1]
+    assert payload in read and "..." not in read
+    assert not any(other in read for other in others)
 
 
 def test_landed_snapshots_never_change(feed, tmp_path):
