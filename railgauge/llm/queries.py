@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import token_counts
+from . import near_duplicates, substrings, token_counts
 from .common import read
 
 
@@ -15,11 +16,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substrings.remove_repeats(read(spark, sf_dir, "documents"), span=35)
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op9_token_counts": op9_token_counts,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 SQL: dict[str, str] = {}
