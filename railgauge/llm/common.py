@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    # Workers on this machine find the package wherever they are started; a cluster has it installed.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

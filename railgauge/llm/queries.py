@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_duplicates, substrings, token_counts
+from . import fingerprints, near_duplicates, packing, preferences, substrings, token_counts, urls
 from .common import read
 
 
@@ -21,6 +21,30 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), window=4096, end_id=2)
+
+
+def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.preference_pairs(read(spark, sf_dir, "conversations"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"), paragraph_words=8)
+
+
+URL_RULES = [
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
@@ -31,6 +55,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_packing": op2_packing,
+    "op3_preferences": op3_preferences,
+    "op4_fingerprints": op4_fingerprints,
+    "op7_url_filter": op7_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
 }
