@@ -60,6 +60,8 @@ class Words:
     ends: np.ndarray
     #: first[d]:first[d + 1] are the words of text d
     first: np.ndarray
+    #: data[bounds[d]:bounds[d + 1]] are the bytes of text d
+    bounds: np.ndarray
 
     @property
     def texts(self) -> int:
@@ -108,7 +110,7 @@ def words_of(texts: pa.Array) -> Words:
     closes[:-1] &= ~inside[1:] | begins[1:]
     starts = np.flatnonzero(begins)
     ends = np.flatnonzero(closes) + 1
-    return Words(data, starts, ends, np.searchsorted(starts, bounds))
+    return Words(data, starts, ends, np.searchsorted(starts, bounds), bounds)
 
 
 def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
