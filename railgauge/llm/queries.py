@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, near_duplicates, packing, preferences, quality, substrings, token_counts, urls
+from . import decontamination, fingerprints, near_duplicates, packing, preferences, quality, substrings, token_counts, urls
 from .common import read
 
 
@@ -33,6 +33,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"), paragraph_words=8)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.judge_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), most_rows=8000)
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_preferences": op3_preferences,
     "op4_fingerprints": op4_fingerprints,
+    "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_url_filter": op7_url_filter,
     "op9_token_counts": op9_token_counts,

@@ -20,9 +20,6 @@ INVERSE = pow(BASE, -1, 1 << 64)
 WORD_BASE = 0xD6E8FEB86659FD93
 MASK = (1 << 64) - 1
 
-IS_SPACE = np.zeros(256, dtype=bool)
-IS_SPACE[list(SPACES)] = True
-
 
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
@@ -92,8 +89,10 @@ class Words:
         return b" ".join(data[s:e].tobytes() for s, e in zip(self.starts[a:b], self.ends[a:b], strict=True))
 
 
-def words_of(texts: pa.Array) -> Words:
-    """The words of a string column; a null text has none."""
+def words_of(texts: pa.Array, separators: bytes = SPACES) -> Words:
+    """The words of a string column; a null text has none. Separators are ASCII bytes."""
+    parts = np.zeros(256, dtype=bool)
+    parts[list(separators)] = True
     texts = texts.fill_null("")
     if texts.type != pa.large_string():
         texts = texts.cast(pa.large_string())
@@ -101,7 +100,7 @@ def words_of(texts: pa.Array) -> Words:
     low, high = (int(offsets[0]), int(offsets[-1])) if len(offsets) else (0, 0)
     data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[low:high] if high > low else np.empty(0, np.uint8)
     bounds = offsets - low
-    inside = ~IS_SPACE[data]
+    inside = ~parts[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cuts = bounds[:-1][bounds[:-1] < len(data)]
