@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, near_duplicates, packing, preferences, quality, substrings, token_counts, urls
+from . import decontamination, fingerprints, near_duplicates, packing, personal, preferences, quality, substrings, token_counts, urls
 from .common import read
 
 
@@ -53,6 +53,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = personal.find_personal_data(docs, personal.train(docs))
+    return found.withColumn("base", F.sha2("base", 256)).withColumnRenamed("base", "base_sha256")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
@@ -69,6 +75,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_url_filter": op7_url_filter,
+    "op8_personal_data": op8_personal_data,
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
 }
