@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 from pathlib import Path
 
@@ -15,22 +14,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared checkpoint folder, so that later steps read them there.
-
-    Only where no folder is set, as in tests on one machine, a temporary one is taken.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; a temporary one where it is unset, as in tests on one machine."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder, so that later steps read them there."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def shuffle_partitions(df: DataFrame) -> int:

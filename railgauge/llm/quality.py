@@ -156,25 +156,25 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 8000) -> Model:
     return Model(np.frombuffer(row["ratios"], np.float32), np.frombuffer(row["weights"], np.float32), row["slope"], row["offset"])
 
 
-def _score(model: Model):
+def _score(model: Model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 score = pa.array([model.score(f) for f in features_of(part.column("text"))], pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns, score], names=[*part.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, score], names=[*part.schema.names, name])
 
     return run
 
 
-def score_texts(rows: DataFrame, model: Model) -> DataFrame:
-    """All rows and columns with `score` added, the probability that the label is 1; it depends on `text` only.
+def score_texts(rows: DataFrame, model: Model, score: str = "score") -> DataFrame:
+    """All rows and columns with a column added, the probability that the label is 1; it depends on `text` only.
 
-    Null, empty and very short texts get the score of a text without features. An input column of the
-    name `score` is replaced.
+    Null, empty and very short texts get the score of a text without features. An input column of that
+    name is replaced.
     """
-    kept = rows.drop("score")
-    schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
-    return kept.mapInArrow(_score(model), schema)
+    kept = rows.drop(score)
+    schema = T.StructType([*kept.schema.fields, T.StructField(score, T.DoubleType())])
+    return kept.mapInArrow(_score(model, score), schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -182,6 +182,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def learnable(labels: DataFrame) -> DataFrame:
+    """doc_id and quality of the rows that may be learnt from."""
+    return labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").filter(~held_out(F.col("doc_id")))
+
+
+def drop_poor(docs: DataFrame, labels: DataFrame, most_rows: int = 8000) -> DataFrame:
+    """The rows of docs, all columns, whose score is 0.5 or more."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = score_texts(docs, train(texts, learnable(labels), most_rows), "__score")
+    return scored.filter("__score >= 0.5").select(*docs.columns)
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, most_rows: int = 8000) -> DataFrame:
     """Per row of docs (doc_id long, text): doc_id, held_out, score, predicted (1 where score >= 0.5).
 
@@ -190,8 +202,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, most_rows: int = 8000) ->
     are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    learn = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").filter(~held_out(F.col("doc_id")))
-    scored = score_texts(rows, train(rows, learn, most_rows))
+    scored = score_texts(rows, train(rows, learnable(labels), most_rows))
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
