@@ -60,7 +60,7 @@ def split_name(name: str, words: dict[str, int], total: int) -> list[str]:
         for begin in range(end):
             count = words.get(name[begin:end])
             score = math.log(count) if count else 1.0 - (end - begin) * math.log(10.0)
-            score += best[begin] - math.log(total + 1)
+            score += best[begin] - math.log(total + 10)
             if score > best[end]:
                 best[end], cut_at[end] = score, begin
     out, end = [], len(name)
