@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
+LONGEST = 24  # letters of a word in a host name
 
 
 @dataclass(frozen=True)
@@ -57,7 +58,7 @@ def split_name(name: str, words: dict[str, int], total: int) -> list[str]:
     """The likeliest words of a name; an unknown stretch gets a tenth as likely with each letter."""
     best, cut_at = [0.0] + [-math.inf] * len(name), [0] * (len(name) + 1)
     for end in range(1, len(name) + 1):
-        for begin in range(end):
+        for begin in range(max(0, end - LONGEST), end):
             count = words.get(name[begin:end])
             score = math.log(count) if count else 1.0 - (end - begin) * math.log(10.0)
             score += best[begin] - math.log(total + 10)
@@ -91,7 +92,8 @@ def segment_names(names: DataFrame, counts: DataFrame) -> DataFrame:
     """name, words for distinct names."""
     total = counts.agg(F.sum("count")).first()[0] or 0
     stretches = F.expr(
-        "flatten(transform(sequence(1, length(name)), i -> transform(sequence(i, length(name)), j -> substring(name, i, j - i + 1))))"
+        "flatten(transform(sequence(1, length(name)), i -> "
+        f"transform(sequence(i, least(i + {LONGEST} - 1, length(name))), j -> substring(name, i, j - i + 1))))"
     )
     parts = names.filter(F.length("name") > 1).select("name", F.explode(F.array_distinct(stretches)).alias("stretch"))
     found = parts.join(counts.withColumnRenamed("word", "stretch"), "stretch")
