@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import decontamination, fingerprints, near_duplicates, packing, personal, preferences, quality, substrings, token_counts, urls
 from .common import read
+from .oracle import SQL
 
 
 def tokenizer_path(name: str) -> str:
@@ -79,4 +80,6 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
 }
-SQL: dict[str, str] = {}
+
+
+__all__ = ["QUERIES", "SQL", "tokenizer_path"]

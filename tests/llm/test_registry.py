@@ -1,0 +1,34 @@
+"""Queries that SQL can state against their SQL, and what the entry registers."""
+
+import importlib.util
+import sys
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__
+from railgauge.llm.queries import QUERIES, SQL
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+from compare import connect, spark_rows, sql_rows  # noqa: E402
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_matches_sql(spark, sf_dir, name):
+    columns, rows = spark_rows(QUERIES[name](spark, sf_dir))
+    expected_columns, expected = sql_rows(connect(sf_dir), SQL[name])
+    assert columns == expected_columns and rows == expected
+
+
+def test_entry_has_every_operator():
+    names = __spark_entry__.queries()
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert set(SQL) <= set(__spark_entry__.oracle_sql())
+
+
+def test_entry_works_without_the_package(monkeypatch):
+    found = importlib.util.find_spec
+    gone = ("railgauge.llm.queries", "corpus_pipeline")
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name in gone else found(name, *a))
+    names = __spark_entry__.queries()
+    assert "fct_performance" in names and not any(n.startswith("op1_") or n == "pipeline" for n in names)
