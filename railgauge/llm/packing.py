@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,25 +31,36 @@ PLACED = f"{PIECES}, sequence_id long, offset long"
 class _WordIds(dict):
     """The ids of each word as little-endian 32-bit integers; forgotten beyond a number of words."""
 
-    def __init__(self, tokenizer, most: int = 400_000) -> None:
+    def __init__(self, tokenizer, most: int = 600_000, chunk: int = 4000) -> None:
         super().__init__()
-        self.tokenizer, self.most = tokenizer, most
+        self.tokenizer, self.most, self.chunk = tokenizer, most, chunk
 
     def learn(self, words: set[str]) -> None:
         if len(self) > self.most:
             self.clear()
         new = list(words - self.keys())
-        for word, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[word] = np.array(encoded.ids, dtype="<u4").tobytes()
+        for at in range(0, len(new), self.chunk):
+            some = new[at : at + self.chunk]
+            # No word has white space in it, so each is one pre-token of the line.
+            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype="<u4").tobytes()
+            cuts = (4 * np.searchsorted(np.array(encoded.word_ids), np.arange(len(some) + 1))).tolist()
+            self.update((word, ids[a:b]) for word, a, b in zip(some, cuts, cuts[1:], strict=False))
+
+
+@lru_cache(maxsize=2)
+def _known(path: str) -> _WordIds:
+    """A worker keeps what it has learnt for its later tasks."""
+    return _WordIds(tokenizing.load(path))
 
 
 def _pieces(path: str, end_id: int, window: int):
     last = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizing.load(path)
+        known = _known(path)
+        tokenizer = known.tokenizer
         special = tokenizing.specials(tokenizer)
-        known = _WordIds(tokenizer)
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = [t or "" for t in part.column("text").to_pylist()]
