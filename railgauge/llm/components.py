@@ -8,23 +8,28 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def _stars(links: DataFrame, large: bool) -> DataFrame:
+#: Links per task; without adaptive merging a small table would be dealt over all shuffle partitions again and again.
+LINKS_IN_TASK = 100_000
+
+
+def _stars(links: DataFrame, large: bool, tasks: int) -> DataFrame:
     """Each node's neighbours, linked to the smallest node among them and itself.
 
     links has a > b. The large star moves a node's larger neighbours, the small star its smaller ones
     and itself. The minimum is aggregated before the shuffle, and one row per node joins back.
     """
+    links = links.coalesce(tasks)
     if large:
         both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(tasks)
         moved = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        least = links.groupBy("a").agg(F.min("b").alias("m"))
+        least = links.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks)
         joined = links.join(least, "a")
         moved = joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )
-    return moved.filter("a > b").distinct()
+    return moved.filter("a > b").coalesce(tasks).distinct().coalesce(tasks)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -40,7 +45,9 @@ def components(links: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
-        links = cut(_stars(_stars(links, large=True), large=False))
+        tasks = state[0] // LINKS_IN_TASK + 1
+        links = cut(_stars(_stars(links, True, tasks), False, tasks))
+    links = links.coalesce(before[0] // LINKS_IN_TASK + 1)
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

@@ -7,8 +7,10 @@
 2. Texts with equal sets are one node, so copies are never compared.
 3. In every bucket (nodes with a common key) each node is checked against the bucket's first node,
    and the confirmed links give components.
-4. Nodes that share a bucket but not a component are then compared pair by pair. Pairs within a
-   component need no check, so nothing that could change the components is left out.
+4. Nodes that buckets connect, but that are not all in one component, form a cluster. Its nodes get a
+   longer signature, and pairs in different components whose signatures come within five standard
+   errors of the similarity are checked too. Clusters are compared block by block, so a large one is
+   spread over many tasks. Pairs within a component need no check.
 
 Checks read the whole texts and count the intersection of the full sets.
 """
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -27,6 +29,8 @@ from .components import components
 from .words import mix, shingle_hashes, slices, words_of
 
 ROWS, BANDS = 6, 42  # a pair at similarity 0.8 shares no band with probability 3e-6
+NO_ID = -(1 << 63)
+LONG, MARGIN, BLOCK = 1024, 5.0, 512  # coordinates and standard errors of the longer signature; nodes in a block
 SIGMA_SEED, PI_SEED = 0x2545F491, 0x9E3779B9
 
 
@@ -81,20 +85,32 @@ def set_fingerprints(values: np.ndarray, starts: np.ndarray) -> list[bytes | Non
     return [packed[16 * i : 16 * i + 16] if starts[i + 1] > starts[i] else None for i in range(len(starts) - 1)]
 
 
-def band_keys(values: np.ndarray, starts: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
-    """bands keys (64 bits) for each non-empty set."""
-    filled = np.flatnonzero(np.diff(starts))
-    begins = starts[:-1][filled]
+def _coordinates(values: np.ndarray, starts: np.ndarray, first: int, count: int) -> Iterator[np.ndarray]:
+    """Signature coordinates first to first + count - 1 of all non-empty sets, one after the other."""
+    begins = starts[:-1][np.flatnonzero(np.diff(starts))]
     places = _permutation((values >> np.uint64(32)).astype(np.uint32), SIGMA_SEED)
-    keys = np.zeros((len(filled), bands), dtype=np.uint64)
     shifted = np.empty_like(places)
-    for j in range(rows * bands if len(filled) else 0):
+    for j in range(first, first + count if len(begins) else first):
         np.add(places, np.uint32(j), out=shifted)
-        least = np.minimum.reduceat(_permutation(shifted, PI_SEED, out=shifted), begins)
+        yield np.minimum.reduceat(_permutation(shifted, PI_SEED, out=shifted), begins)
+
+
+def band_keys(values: np.ndarray, starts: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
+    """bands keys (64 bits) for each non-empty set."""
+    keys = np.zeros((int((np.diff(starts) > 0).sum()), bands), dtype=np.uint64)
+    for j, least in enumerate(_coordinates(values, starts, 0, rows * bands)):
         keys[:, j // rows] = mix(keys[:, j // rows] + least + np.uint64(j + 1))
     return keys
 
 
+def long_signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The low bytes of LONG coordinates of each non-empty set, other ones than the bands use."""
+    out = np.zeros((int((np.diff(starts) > 0).sum()), LONG), dtype=np.uint8)
+    for j, least in enumerate(_coordinates(values, starts, ROWS * BANDS, LONG)):
+        out[:, j] = least & np.uint32(255)
+    return out
+
+
 def _sketch(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,6 +122,7 @@ def _sketch(k: int):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column("doc_id"),
+                        "text_key": part.column("text_key"),
                         "n_shingles": np.diff(starts).astype(np.int64),
                         "set_id": pa.array(set_fingerprints(values, starts), pa.binary()),
                         "keys": pa.array(packed, pa.binary()),
@@ -156,32 +173,83 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that hold on full sets; each text is fetched once, by its document."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-    texts = cut(
-        wanted.select("node", "doc_id", "set_id").join(docs, "doc_id").select("node", "set_id", "text")
+def _sign(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                signed = [row.tobytes() for row in long_signatures(*shingle_sets(part.column("text"), k))]
+                columns = {n: part.column(n) for n in ("cluster", "root", "node", "n_shingles", "blocks")}
+                yield pa.RecordBatch.from_pydict({**columns, "signature": pa.array(signed, pa.binary())})
+
+    return run
+
+
+def _near(rows: list[dict], percent: int) -> list[tuple[int, int]]:
+    """Pairs (larger node, smaller node) of one pair of blocks that the long signatures leave open.
+
+    Rows of the first block come with side 0, of the second with side 1; a block with itself has side 0 only.
+    """
+    signatures = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint8).reshape(len(rows), LONG)
+    node, root, size, side = (np.array([r[n] for r in rows]) for n in ("node", "root", "n_shingles", "side"))
+    share = percent / 100
+    least = LONG * (share - MARGIN * np.sqrt(share * (1 - share) / LONG))
+    out = []
+    for a in np.flatnonzero(side == 0):
+        others = np.flatnonzero(side == 1) if (side == 1).any() else np.arange(a + 1, len(rows))
+        fits = 100 * np.minimum(size[others], size[a]) >= percent * np.maximum(size[others], size[a])
+        others = others[fits & (root[others] != root[a])]
+        alike = (signatures[others] == signatures[a]).sum(axis=1)
+        out += [(max(node[a], node[b]), min(node[a], node[b])) for b in others[alike >= least]]
+    return out
+
+
+def _compare_blocks(percent: int):
+    """Rows come sorted by cluster and pair of blocks; one pair of blocks is held at a time."""
+
+    def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({n: pa.array([p[i] for p in pairs], pa.int64()) for i, n in enumerate("ab")})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for row in batch.to_pylist():
+                now = (row["cluster"], row["low"], row["high"])
+                if now != key:
+                    found += _near(held, percent) if held else []
+                    key, held = now, []
+                held.append(row)
+            yield out(found)
+        if held:
+            yield out(_near(held, percent))
+
+    return run
+
+
+def _texts(nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """node, text: one text per node, fetched by its document."""
+    return (
+        nodes.select("node", "doc_id", "set_id").join(docs, "doc_id").select("node", "set_id", "text")
         .mapInArrow(_same_sets(k), "node long, text string").dropDuplicates(["node"])
     )
+
+
+def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that hold on full sets."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(k, percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of docs (doc_id long, text): doc_id, n_shingles, component_id, kept.
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
 
-    Words are runs of characters other than space and \\x09-\\x0D, with A-Z lower-cased; sets are the
-    distinct k-word shingles; two texts are linked when 100 * intersection >= percent * union.
-    component_id is the smallest doc_id reachable over links, kept says that it is the row's own.
-    Null texts and texts without words have an empty set and are linked with nothing. Rows that
-    share a doc_id are separate documents. Texts whose doc_id is null take part like all others; in
-    a component without any doc_id, component_id is null and every row is kept. Other columns are
-    ignored.
-    """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = cut(docs.mapInArrow(_sketch(k), "doc_id long, n_shingles long, set_id binary, keys binary"))
+
+def _judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Per row: doc_id, text_key, n_shingles, root (of its group; null without words), component_id."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key())
+    sketches = cut(docs.mapInArrow(_sketch(k), "doc_id long, text_key long, n_shingles long, set_id binary, keys binary"))
     nodes = sketches.filter("set_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")
     )
@@ -192,26 +260,66 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
     buckets = entries.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last")
     members = cut(entries.join(buckets.select("key", "leader"), "key"))
-    to_leader = members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    links = cut(_links(to_leader, named, docs, k, percent))
-    labelled = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    labelled = cut(labelled.select("key", "node", "n_shingles", "root"))
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    rest = labelled.join(mixed.select("key"), "key", "left_semi")
-    a, b = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n_shingles")]) for s in "ab")
-    fits = F.expr(
-        f"root_a <> root_b and node_a > node_b and 100 * least(n_shingles_a, n_shingles_b) >= {percent} * greatest(n_shingles_a, n_shingles_b)"
+    to_leader = cut(members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
+    clusters = cut(components(to_leader).withColumnRenamed("root", "cluster"))
+    texts = cut(_texts(clusters.join(named, "node"), docs, k))
+    links = cut(_links(to_leader, texts, k, percent))
+    placed = clusters.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = cut(placed.join(named.select("node", "n_shingles"), "node"))
+    mixed = placed.groupBy("cluster").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.count("*").alias("n"))
+    mixed = mixed.filter("first < last").select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    signed = placed.join(mixed, "cluster").join(texts, "node").mapInArrow(
+        _sign(k), "cluster long, root long, node long, n_shingles long, blocks int, signature binary"
+    )
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.explode(F.expr("sequence(0, blocks - 1)"))
+    dealt = signed.withColumn("block", block).withColumn("other", other).select(
+        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "root", "node", "n_shingles", "signature",
     )
-    across = a.join(b, "key").filter(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    across = across.join(to_leader, ["a", "b"], "left_anti")
-    links = links.unionByName(_links(cut(across), named, docs, k, percent))
+    open_pairs = dealt.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high").mapInArrow(
+        _compare_blocks(percent), "a long, b long"
+    )
+    links = links.unionByName(_links(cut(open_pairs.join(to_leader, ["a", "b"], "left_anti")), texts, k, percent))
     reached = named.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = reached.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    groups = reached.join(least, "root").select("set_id", "component_id")
+    groups = reached.join(least, "root").select("set_id", "root", "component_id")
     own = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
-        sketches.select("doc_id", "n_shingles", "set_id")
+        sketches.select("doc_id", "text_key", "n_shingles", "set_id")
         .join(groups, "set_id", "left")
-        .select("doc_id", "n_shingles", own.alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+        .select("doc_id", "text_key", "n_shingles", "root", own.alias("component_id"))
     )
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of docs (doc_id long, text): doc_id, n_shingles, component_id, kept.
+
+    Words are runs of characters other than space and \\x09-\\x0D, with A-Z lower-cased; sets are the
+    distinct k-word shingles; two texts are linked when 100 * intersection >= percent * union.
+    component_id is the smallest doc_id reachable over links, kept says that it is the row's own.
+    Null texts and texts without words have an empty set and are linked with nothing. Rows that
+    share a doc_id are separate documents. A text all of whose rows lack a doc_id is linked with none but
+    its equals; there component_id is null and every row is kept. Other columns are ignored.
+    """
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    return _judged(docs, k, percent).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns, with one row left of each group of near-duplicates.
+
+    The row with the smallest doc_id stays (a null one only where there is no other), of several the one
+    with the smallest hash of its text. Rows without words all stay.
+    """
+    judged = _judged(docs, k, percent).withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "id", "text_key")).alias("first")
+    leaders = judged.filter("root is not null").groupBy("root").agg(first)
+    leaders = leaders.select(F.col("first.id").alias("__id"), F.col("first.text_key").alias("__key"), F.lit(True).alias("__leads"))
+    empty = judged.filter("root is null").select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), F.lit(False).alias("__leads"))
+    stay = leaders.unionByName(empty.distinct())
+    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__key": _text_key()})
+    found = keyed.join(stay, ["__id", "__key"])
+    again = F.row_number().over(Window.partitionBy("__id", "__key").orderBy("__leads"))
+    found = found.withColumn("__again", again).filter("not __leads or __again = 1")
+    return found.select(*docs.columns)
