@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import WINDOW_MINUTES
 
 MICROS = 1_000_000
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 
 
 def as_column(value: Column | str) -> Column:
@@ -41,8 +42,9 @@ def hour_floor(ts: Column | str) -> Column:
 
 
 def from_epoch(seconds: Column | str) -> Column:
-    """Epoch seconds to timestamp; anything that is no whole number becomes null."""
-    return F.timestamp_seconds(as_column(seconds).try_cast("bigint"))
+    """Epoch seconds to timestamp; no whole number, or one outside the years 1 to 9999, becomes null."""
+    whole = as_column(seconds).try_cast("bigint")
+    return F.timestamp_seconds(F.when(whole.between(FIRST_SECOND, LAST_SECOND), whole))
 
 
 def parse_instant(text: Column | str) -> Column:
@@ -68,6 +70,7 @@ def hours_between(later: Column | str, earlier: Column | str) -> Column:
 
 
 def file_instant(path: Column | str, fallback: Column) -> Column:
-    """Poll time written in a snapshot's file name (``..._YYYYMMDD_HHMMSS.ext``)."""
-    stamp = F.regexp_extract(as_column(path), r"(\d{8}_\d{6})[^/]*$", 1)
-    return F.coalesce(F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd_HHmmss")), fallback)
+    """Poll time in a snapshot's file name (``..._YYYYMMDD_HHMMSS.ext``), else in its folder's."""
+    parts = (r"(\d{8}_\d{6})[^/]*$", r"(\d{8}_\d{6})[^/]*/[^/]*$")
+    stamps = [F.nullif(F.regexp_extract(as_column(path), part, 1), F.lit("")) for part in parts]
+    return F.coalesce(*[F.try_to_timestamp(stamp, F.lit("yyyyMMdd_HHmmss")) for stamp in stamps], fallback)

@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..operators.filters import on_routes
 from ..sources import feeds, sinks
-from ..sources.tables import default_stops, open_catalog, processed_paths
+from ..sources.tables import default_stops, open_catalog, processed_paths, vehicle_date
 from ..sources.weather import load_raw_weather
 from . import marts, processing, staging
 
@@ -44,7 +45,11 @@ def process(
     }
     run_id = run_id or sinks.new_run_id()
     paths = processed_paths(root)
-    return {name: sinks.save_processed(table, paths[name], run_id) for name, table in cleaned.items()}
+    layout = {"vehicle_positions": vehicle_date(F.col("mta_timestamp"))}
+    return {
+        name: sinks.save_processed(table, paths[name], run_id, layout.get(name, "event_time"))
+        for name, table in cleaned.items()
+    }
 
 
 def staging_views(

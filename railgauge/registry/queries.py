@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from ..functions import classify, numbers, text, times
 from ..operators import aggregates, dedup, filters, headway, joins, quality
-from ..plans import marts, processing, reports, staging
+from .. import schemas
+from ..plans import marts, processing, refresh, reports, staging
 from ..session import pin_utc, scratch_dir
 from ..sources import feeds, sinks, tables, weather as weather_source
 from ..streaming import headway as stream_headway_tables
@@ -118,6 +119,18 @@ def epoch_parse(spark, sf_dir):
     )
 
 
+@query
+def epoch_bounds(spark, sf_dir):
+    """The extremes of bigint, which feeds use for no end, and the first second past the last year."""
+    second = (
+        F.when(F.col("event_id") % 4 == 0, F.lit(9223372036854775807))
+        .when(F.col("event_id") % 4 == 1, F.lit(-9223372036854775807))
+        .when(F.col("event_id") % 4 == 2, F.lit(253402300800))
+        .otherwise(F.unix_seconds("ts"))
+    )
+    return views.events(spark, sf_dir).select("event_id", times.from_epoch(second).alias("second"))
+
+
 @query
 def iso_parse(spark, sf_dir):
     stamped = views.events(spark, sf_dir).select(
@@ -187,6 +200,17 @@ def landed_json_scan(spark, sf_dir):
     return feeds.load_raw_positions(feeds.read_feed(spark, root, "json", "*.json"), ROUTES).drop("feed_seq")
 
 
+@query
+def corrupt_files_counted(spark, sf_dir):
+    """JSON lines, every tenth of them cut short."""
+    root = scratch_dir(spark, "corrupt")
+    line = F.to_json(F.struct("event_id", "event_type"))
+    whole = F.length(line) - F.when(F.col("event_id") % 10 == 0, 4).otherwise(0)
+    views.events(spark, sf_dir).select(F.substring(line, F.lit(1), whole)).write.text(f"{root}/poll_1")
+    counted = feeds.corrupt_lines(spark, root, "event_id bigint, event_type string", "*.txt")
+    return counted.agg(F.sum("lines").alias("lines"), F.sum("corrupt").alias("corrupt"))
+
+
 # --- sources and sinks -------------------------------------------------------------------
 
 
@@ -496,6 +520,25 @@ def dedup_first_positions(spark, sf_dir):
     return dedup.keep_first(views.twice(views.raw_positions(spark, sf_dir)), dedup.POSITION_KEY)
 
 
+@query
+def dedup_changed_weather(spark, sf_dir):
+    """Copies that differ: only the right order finds the first."""
+    rows = views.raw_weather(spark, sf_dir)
+    return dedup.keep_first(views.changed(rows, temperature_c=F.col("temperature_c") + 1), dedup.WEATHER_KEY)
+
+
+@query
+def dedup_changed_positions(spark, sf_dir):
+    rows = views.raw_positions(spark, sf_dir)
+    return dedup.keep_first(views.changed(rows, current_status=F.col("current_status") + 10), dedup.POSITION_KEY)
+
+
+@query
+def dedup_changed_latest(spark, sf_dir):
+    rows = views.raw_positions(spark, sf_dir)
+    return dedup.latest_position(views.changed(rows, current_status=F.col("current_status") + 10))
+
+
 @query
 def dedup_rn_delays(spark, sf_dir):
     return dedup.earliest_delay(views.twice(views.raw_delays(spark, sf_dir)))
@@ -808,41 +851,58 @@ def _streamed(view, spark, sf_dir):
 GRAIN = list(aggregates.GRAIN)
 
 
-def _drained(spark, stream, keys=GRAIN):
-    root = scratch_dir(spark, "stream")
-    stream_sinks.drain(stream, stream_sinks.changes_to(f"{root}/changes"), f"{root}/checkpoint")
-    return stream_sinks.latest_changes(spark, f"{root}/changes", keys)
+# Whole source files, not in the order of their times: every slice spans all dates, so most rows are late.
+SLICES = (2, 0, 3, 1)
 
 
-EXACT_COPY = [*dedup.DELAY_KEY, "event_time"]
+def _slice(rows: DataFrame, number: int, slices: int = len(SLICES)) -> DataFrame:
+    return rows.filter(F.pmod(F.hash("source_file"), F.lit(slices)) == number)
 
 
-def _stream_delay_windows(spark, sf_dir):
-    raw = views.twice(_streamed(views.raw_delays, spark, sf_dir))
-    return _drained(spark, stream_windows.delays_by_window_stream(raw, EXACT_COPY))
+def _landed_stream(spark, landing, schema):
+    return spark.readStream.schema(schema).options(**feeds.SCAN).parquet(landing)
 
 
-def _stream_alert_windows(spark, sf_dir):
-    raw = views.twice(_streamed(views.raw_alerts, spark, sf_dir))
-    return _drained(spark, stream_windows.alert_count_stream(raw))
+def _in_rounds(spark, rows, schema, writer, root):
+    """The slices land one after the other in sub-folders, and each is streamed when it has landed."""
+    for number in SLICES:
+        _slice(rows, number).write.parquet(f"{root}/landing/poll_{number}")
+        stream = _landed_stream(spark, f"{root}/landing", schema)
+        stream_sinks.drain(stream, writer, f"{root}/checkpoint", "append")
 
 
-def _stream_positions(spark, sf_dir):
+def _stream_delay_windows(spark, sf_dir):
     root = scratch_dir(spark, "stream")
-    writer = stream_headway_tables.headway_tables(f"{root}/landing", f"{root}/table")
-    stream_sinks.drain(_streamed(views.raw_positions, spark, sf_dir), writer, f"{root}/checkpoint", "append")
-    return stream_headway_tables.read_headways(spark, f"{root}/table")
+    writer = stream_windows.delay_windows(f"{root}/delays", f"{root}/windows")
+    _in_rounds(spark, views.twice(views.raw_delays(spark, sf_dir)), schemas.RAW_DELAYS, writer, root)
+    return stream_windows.read_windows(spark, f"{root}/windows")
+
+
+def _stream_positions(spark, sf_dir, root):
+    writer = stream_headway_tables.headway_tables(f"{root}/stored", f"{root}/table")
+    _in_rounds(spark, views.raw_positions(spark, sf_dir), schemas.RAW_POSITIONS, writer, root)
+    return f"{root}/table"
 
 
 @query
 def stream_delays_15min(spark, sf_dir):
-    """Each report twice in the stream; copies are dropped within the watermark."""
+    """Each report twice, in four micro-batches out of time order."""
     return _stream_delay_windows(spark, sf_dir)
 
 
 @query
 def stream_alert_counts(spark, sf_dir):
-    return _stream_alert_windows(spark, sf_dir)
+    root = scratch_dir(spark, "stream")
+    writer = stream_windows.alert_windows(f"{root}/alerts", f"{root}/windows")
+    _in_rounds(spark, views.twice(views.raw_alerts(spark, sf_dir)), schemas.RAW_ALERTS, writer, root)
+    return stream_windows.read_windows(spark, f"{root}/windows")
+
+
+@query
+def stream_weather_windows(spark, sf_dir):
+    """Hourly weather onto the streamed delay windows."""
+    weather = dedup.latest_weather_snapshot(views.weather(spark, sf_dir)).select("obs_hour", "temperature_c")
+    return stream_windows.weather_onto_windows(_stream_delay_windows(spark, sf_dir), weather)
 
 
 @query
@@ -857,22 +917,30 @@ def stream_named_delays(spark, sf_dir):
 
 @query
 def stream_headway(spark, sf_dir):
-    return _stream_positions(spark, sf_dir)
+    return stream_headway_tables.read_headways(spark, _stream_positions(spark, sf_dir, scratch_dir(spark, "stream")))
 
 
-def _landed(spark, sf_dir):
-    root = scratch_dir(spark, "landing")
-    feed = sinks.land_snapshots(views.feed(spark, sf_dir), f"{root}/feed", "1")
-    weather = sinks.land_snapshots(views.weather_responses(spark, sf_dir), f"{root}/weather", "1")
-    return stream_processing.Landing(feed, feed, feed, weather)
+@query
+def stream_then_batch_positions(spark, sf_dir):
+    """A stream and then a batch run on one store, read from a date on; copies count once."""
+    path = _stream_positions(spark, sf_dir, scratch_dir(spark, "stream"))
+    day = tables.vehicle_date(F.col("mta_timestamp"))
+    sinks.save_processed(views.positions(spark, sf_dir), path, "batch", day)
+    return tables.read_processed(spark, path, schemas.POSITIONS, since=SINCE).distinct()
+
+
+SINCE = "2024-01-05"
 
 
 def _processed_by_stream(spark, sf_dir):
+    """Two polls below one landing root, taken by one run of the streams."""
     root = scratch_dir(spark, "stream")
-    streams = stream_processing.process_new(
-        spark, _landed(spark, sf_dir), f"{root}/processed", f"{root}/state", ROUTES, "parquet"
-    )
-    for stream in streams:
+    feed, responses = views.feed(spark, sf_dir), views.weather_responses(spark, sf_dir)
+    for number in SLICES:
+        sinks.land_snapshots(_slice(feed, number), f"{root}/feed", str(number))
+        sinks.land_snapshots(_slice(responses, number), f"{root}/weather", str(number))
+    landing = stream_processing.Landing(*[f"{root}/feed"] * 3, f"{root}/weather")
+    for stream in stream_processing.process_new(spark, landing, f"{root}/processed", f"{root}/state", ROUTES, "parquet"):
         stream.awaitTermination()
     return tables.open_catalog(spark, f"{root}/processed")
 
@@ -883,13 +951,57 @@ def stream_processed_delays(spark, sf_dir):
     return _processed_by_stream(spark, sf_dir)["delays"]
 
 
+@query
+def stream_landing_root(spark, sf_dir):
+    """Delay windows of what the streams have taken from a landing root."""
+    return aggregates.delays_by_window(_processed_by_stream(spark, sf_dir)["delays"])
+
+
+RAW = {
+    "delays": (views.raw_delays, schemas.RAW_DELAYS),
+    "alerts": (views.raw_alerts, schemas.RAW_ALERTS),
+    "vehicle_positions": (views.raw_positions, schemas.RAW_POSITIONS),
+    "weather": (views.raw_weather, schemas.RAW_WEATHER),
+}
+
+
 @query
 def stream_features(spark, sf_dir):
-    """Three streamed tables joined on the window, hourly weather joined from the side."""
-    weather = dedup.latest_weather_snapshot(views.weather(spark, sf_dir)).select("obs_hour", "temperature_c")
-    return joins.star_join(
-        _stream_delay_windows(spark, sf_dir),
-        _stream_alert_windows(spark, sf_dir),
-        aggregates.headway_by_window(_stream_positions(spark, sf_dir)),
-        weather,
-    )
+    """Four streams in two rounds; after each round the features of the touched dates are computed again."""
+    root = scratch_dir(spark, "stream")
+    for number in (1, 0):
+        streams = {}
+        for name, (view, schema) in RAW.items():
+            _slice(view(spark, sf_dir), number, 2).write.parquet(f"{root}/landing/{name}/poll_{number}")
+            streams[name] = _landed_stream(spark, f"{root}/landing/{name}", schema)
+        processed, log = f"{root}/processed", f"{root}/changes"
+        for running in stream_processing.process_streams(spark, streams, processed, f"{root}/state", changes=log):
+            running.awaitTermination()
+        refresh.refresh(spark, processed, log, f"{root}/features")
+    return stream_windows.read_windows(spark, f"{root}/features")
+
+
+def _in_increments(spark, sf_dir):
+    """Three batch runs of other source files; after each one only the touched dates are computed again."""
+    root = scratch_dir(spark, "increments")
+    processed, log = f"{root}/processed", f"{root}/changes"
+    built = {
+        "delays": views.delays(spark, sf_dir),
+        "alerts": views.alerts(spark, sf_dir),
+        "vehicle_positions": views.positions(spark, sf_dir),
+        "weather": views.weather(spark, sf_dir),
+    }
+    layout = {"vehicle_positions": tables.vehicle_date(F.col("mta_timestamp"))}
+    for run in range(3):
+        for name, path in tables.processed_paths(processed).items():
+            rows = _slice(built[name], run, 3)
+            folder = sinks.save_processed(rows, path, f"run_{run}", layout.get(name, "event_time"))
+            stored = spark.read.schema(rows.schema).parquet(folder)
+            refresh.log_changes(spark, log, name, f"run_{run}", refresh.changed_dates(spark, processed, name, stored))
+        refresh.refresh(spark, processed, log, f"{root}/features")
+    return stream_windows.read_windows(spark, f"{root}/features")
+
+
+@query
+def incremental_features(spark, sf_dir):
+    return _in_increments(spark, sf_dir)

@@ -162,6 +162,12 @@ def twice(df: DataFrame) -> DataFrame:
     return df.unionAll(df)
 
 
+def changed(df: DataFrame, **payload: Column) -> DataFrame:
+    """Each row and a copy that differs: an hour later where feed_seq is even, an hour earlier else."""
+    shift = F.when(F.col("feed_seq") % 2 == 0, F.expr("interval 1 hour")).otherwise(F.expr("interval -1 hour"))
+    return df.unionAll(df.withColumns({"event_time": F.col("event_time") + shift, **payload}))
+
+
 def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return processing.clean_delays(raw_delays(spark, sf_dir))
 

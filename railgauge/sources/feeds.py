@@ -20,13 +20,17 @@ from .. import schemas
 from ..functions.times import from_epoch
 from .scan import load_or_empty
 
+# Landing folders hold a sub-folder per poll.
+SCAN = {"recursiveFileLookup": "true"}
+
 
 def read_feed(spark: SparkSession, path: str, fmt: str = "parquet", glob: str | None = None, **options: str) -> DataFrame:
     """All snapshots below ``path``; ``source_file`` is the file each row came from.
 
-    A ``source_file`` stored in the rows (compacted landing files) wins over the file path.
+    A ``source_file`` stored in the rows (compacted landing files) wins over the file path. Text that is
+    no snapshot stops the read; pass ``mode="PERMISSIVE"`` to go on without it and ``corrupt_lines`` to count it.
     """
-    reader = spark.read.schema(schemas.FEED).format(fmt).option("recursiveFileLookup", "true").options(**options)
+    reader = spark.read.schema(schemas.FEED).format(fmt).options(**SCAN, **({"mode": "FAILFAST"} | options))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return load_or_empty(spark, lambda: with_lineage(reader.load(path)), schemas.FEED)
@@ -35,25 +39,23 @@ def read_feed(spark: SparkSession, path: str, fmt: str = "parquet", glob: str |
 def stream_feed(
     spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None, **options: str
 ) -> DataFrame:
-    """New snapshots as they land; the checkpoint remembers which files were seen."""
-    reader = spark.readStream.schema(schemas.FEED).format(fmt).options(**options)
+    """New snapshots as they land, in any folder below; the checkpoint remembers which files were seen.
+
+    ``path`` must exist: a misspelt landing folder is an error, not an empty stream.
+    """
+    reader = spark.readStream.schema(schemas.FEED).format(fmt).options(**SCAN, **({"mode": "FAILFAST"} | options))
+    reader = reader.option("pathGlobFilter", f"*.{fmt}*")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return with_lineage(reader.load(path))
 
 
-def decode_binary_feed(files: DataFrame, descriptor_file: str, message: str = "FeedMessage") -> DataFrame:
-    """Serialized feed messages (``binaryFile`` rows) to snapshots.
-
-    Needs the spark-protobuf package on the session's classpath and a compiled descriptor.
-    """
-    from pyspark.sql.protobuf.functions import from_protobuf
-
-    decoded = files.select(
-        F.col("path").alias("source_file"),
-        from_protobuf("content", message, descriptor_file, {"enums.as.ints": "true"}).alias("feed"),
-    )
-    return decoded.select("source_file", "feed.header", "feed.entity")
+def corrupt_lines(spark: SparkSession, path: str, schema: str = schemas.FEED, glob: str = "*.json") -> DataFrame:
+    """source_file, lines, corrupt: per JSON file below ``path``, its lines and those that cannot be read."""
+    lines = spark.read.options(**SCAN).option("pathGlobFilter", glob).text(path)
+    read = F.from_json("value", f"{schema.rstrip()}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    named = lines.select(F.col("_metadata.file_path").alias("source_file"), read["_corrupt"].alias("corrupt"))
+    return named.groupBy("source_file").agg(F.count(F.lit(1)).alias("lines"), F.count("corrupt").alias("corrupt"))
 
 
 def with_lineage(df: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
-def load_or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str) -> DataFrame:
+def load_or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str | StructType) -> DataFrame:
     """What ``load`` reads; no rows, with the schema, where nothing was ever written."""
     try:
         return load()

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import DATE_COLUMN, RUN_COLUMN
+from .tables import DATE_COLUMN, run_path
 
 
 class WriteValidationError(RuntimeError):
@@ -22,10 +22,10 @@ def save_processed(
     df: DataFrame,
     path: str,
     run_id: str | None = None,
-    time_column: str = "event_time",
+    time_column: str | Column = "event_time",
     rebalance: bool = True,
 ) -> str:
-    """Add one run to a processed table, laid out by date, and check its row count.
+    """Add one run to a processed table, laid out by date (of a time column, or a date), and check its row count.
 
     * Every run has its own folder, written in overwrite mode: repeating a run id replaces
       that run instead of doubling it.
@@ -35,23 +35,26 @@ def save_processed(
       if a task is retried. A run that fails the check is removed again.
     """
     spark = df.sparkSession
-    run_path = f"{path.rstrip('/')}/{RUN_COLUMN}={run_id or new_run_id()}"
-    dated = df.withColumn(DATE_COLUMN, F.to_date(time_column))
+    folder = run_path(path, run_id or new_run_id())
+    dated = df.withColumn(DATE_COLUMN, F.to_date(time_column) if isinstance(time_column, str) else time_column)
     if rebalance:
         dated = dated.hint("rebalance", DATE_COLUMN)
     counted = Observation()
-    dated.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(DATE_COLUMN).parquet(run_path)
+    dated.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(DATE_COLUMN).parquet(folder)
     try:
-        validate_count(spark, run_path, counted.get["rows"], dated)
+        validate_count(spark, folder, counted.get["rows"], dated)
     except Exception:
-        remove_folder(spark, run_path)
+        remove_folder(spark, folder)
         raise
-    return run_path
+    return folder
 
 
-def validate_count(spark: SparkSession, path: str, expected: int, written: DataFrame) -> None:
-    """Recount from the files (no column is read, only row counts)."""
-    found = spark.read.schema(written.schema).parquet(path).count()
+def validate_count(
+    spark: SparkSession, path: str, expected: int, written: DataFrame, where: Column | None = None
+) -> None:
+    """Recount from the files (no column is read, only row counts); ``where`` names the folders written."""
+    rows = spark.read.schema(written.schema).parquet(path)
+    found = (rows if where is None else rows.filter(where)).count()
     if found != expected:
         raise WriteValidationError(f"{path}: wrote {expected} rows but the files hold {found}")
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterable
 from datetime import date
 from importlib.resources import as_file, files
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -15,6 +17,7 @@ from .scan import load_or_empty
 # Layout columns the writers add; readers prune on them and leave them out of the contract.
 RUN_COLUMN = "run_id"
 DATE_COLUMN = "event_date"
+NO_DATE = date(1970, 1, 1)
 
 # Logical table names, their folders below a processed root, and their contracts.
 TABLES = {
@@ -31,10 +34,12 @@ def read_processed(
     schema: str,
     since: date | str | None = None,
     until: date | str | None = None,
+    dates: Iterable[date] | None = None,
 ) -> DataFrame:
     """Every run below ``path``; a table that was never written reads as empty.
 
-    ``since`` and ``until`` (inclusive) prune whole date folders before any file is opened.
+    ``since`` and ``until`` (inclusive), or a set of ``dates``, prune whole date folders before any file is
+    opened; NO_DATE stands for rows without a time.
     """
     layout = f"{schema.rstrip()}, {RUN_COLUMN} string, {DATE_COLUMN} date"
     table = load_or_empty(spark, lambda: spark.read.schema(layout).parquet(path), layout)
@@ -42,9 +47,21 @@ def read_processed(
         table = table.filter(F.col(DATE_COLUMN) >= F.lit(since).cast("date"))
     if until is not None:
         table = table.filter(F.col(DATE_COLUMN) <= F.lit(until).cast("date"))
+    if dates is not None:
+        wanted = F.col(DATE_COLUMN).isin(*dates)
+        table = table.filter(wanted | F.col(DATE_COLUMN).isNull() if NO_DATE in set(dates) else wanted)
     return table.drop(RUN_COLUMN, DATE_COLUMN)
 
 
+def run_path(path: str, run_id: str) -> str:
+    return f"{path.rstrip('/')}/{RUN_COLUMN}={run_id}"
+
+
+def vehicle_date(ts: Column) -> Column:
+    """The layout date of positions, in batch and stream: that of the vehicle time."""
+    return F.coalesce(F.to_date(ts), F.lit(NO_DATE))
+
+
 def read_stops(spark: SparkSession, path: str) -> DataFrame:
     """A stops seed: CSV with a header line; lines that start with # are remarks."""
     return spark.read.schema(schemas.STOPS).option("header", "true").option("comment", "#").csv(path)
@@ -52,10 +69,9 @@ def read_stops(spark: SparkSession, path: str) -> DataFrame:
 
 def default_stops(spark: SparkSession) -> DataFrame:
     """The packaged seed. It is read here, so executors need not see the package folder."""
-    with as_file(files("railgauge") / "seeds" / "stops.csv") as seed:
-        lines = Path(seed).read_text(encoding="utf-8").splitlines()
-    rows = [tuple(line.split(",")) for line in lines if line and not line.startswith("#")][1:]
-    return spark.createDataFrame(rows, schemas.STOPS)
+    with as_file(files("railgauge") / "seeds" / "stops.csv") as seed, Path(seed).open(encoding="utf-8", newline="") as lines:
+        rows = list(csv.reader(line for line in lines if line.strip() and not line.startswith("#")))[1:]
+    return spark.createDataFrame([tuple(row) for row in rows], schemas.STOPS)
 
 
 def processed_paths(root: str) -> dict[str, str]:

@@ -33,13 +33,15 @@ def read_weather(spark: SparkSession, path: str, glob: str = "*.json", multi_lin
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .option("multiLine", str(multi_line).lower())
+        .option("mode", "FAILFAST")
     )
     return load_or_empty(spark, lambda: _with_poll(reader.json(path)), STORED_RESPONSE)
 
 
 def stream_weather(spark: SparkSession, path: str, fmt: str = "json", max_files: int | None = None) -> DataFrame:
-    """New responses as they land."""
-    reader = spark.readStream.schema(STORED_RESPONSE).format(fmt)
+    """New responses as they land, in any folder below ``path``, which must exist."""
+    reader = spark.readStream.schema(STORED_RESPONSE).format(fmt).option("recursiveFileLookup", "true")
+    reader = reader.option("pathGlobFilter", f"*.{fmt}*").option("mode", "FAILFAST")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return _with_poll(reader.load(path))

@@ -9,45 +9,47 @@ harmless.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.times import from_epoch
 from ..plans.processing import clean_positions
 from ..sources.scan import load_or_empty
-from ..sources.tables import DATE_COLUMN
+from ..sources.sinks import validate_count
+from ..sources.tables import DATE_COLUMN, read_processed, run_path, vehicle_date
 from .sinks import BATCH_COLUMN, BatchWriter
 
 ONE_DAY = timedelta(days=1)
-NO_DATE = date(1970, 1, 1)
+STREAM_RUN = "stream"
 
 
-def headway_tables(landing: str, table: str) -> BatchWriter:
-    """A batch writer that keeps ``table`` (positions with gaps, by date of the vehicle time).
+def headway_tables(
+    landing: str, table: str, noted: Callable[[DataFrame, int], None] | None = None
+) -> BatchWriter:
+    """A batch writer that keeps the run ``stream`` of ``table`` (positions with gaps, by date of the vehicle time).
 
     Stored rows lie under their date, then their batch: a batch only lists the dates it needs,
-    and a replayed batch replaces exactly its own folders.
+    and a replayed batch replaces exactly its own folders. ``noted`` is told the rows that were replaced.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stored = batch.withColumns(
-            {DATE_COLUMN: _date_of(from_epoch("mta_timestamp")), BATCH_COLUMN: F.lit(batch_id).cast("bigint")}
+            {DATE_COLUMN: vehicle_date(from_epoch("mta_timestamp")), BATCH_COLUMN: F.lit(batch_id).cast("bigint")}
         )
         _replace_partitions(stored, landing, DATE_COLUMN, BATCH_COLUMN)
         touched = _dates_of_batch(batch.sparkSession, landing, batch_id)
         if touched:
-            _recompute(batch.sparkSession, landing, table, touched)
+            replaced = _recompute(batch.sparkSession, landing, table, touched)
+            if noted is not None:
+                noted(read_processed(batch.sparkSession, table, schemas.POSITIONS, dates=replaced), batch_id)
 
     return write
 
 
-def _date_of(ts: Column) -> Column:
-    return F.coalesce(F.to_date(ts), F.lit(NO_DATE))
-
-
 def _replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*columns).parquet(path)
@@ -65,15 +67,21 @@ def _dates_of_batch(spark: SparkSession, landing: str, batch_id: int) -> set[dat
     return {row[0] for row in own.select(DATE_COLUMN).distinct().collect()}
 
 
-def _recompute(spark: SparkSession, landing: str, table: str, touched: set[date]) -> None:
+def _recompute(spark: SparkSession, landing: str, table: str, touched: set[date]) -> set[date]:
+    """Replace the touched dates and the days after them; returns those dates."""
     replaced = touched | {day + ONE_DAY for day in touched}
     needed = replaced | {day - ONE_DAY for day in replaced}
     listed = ",".join(sorted(day.isoformat() for day in needed))
     rows = _stored(spark, landing, f"{DATE_COLUMN}={{{listed}}}").drop(DATE_COLUMN, BATCH_COLUMN)
-    gaps = clean_positions(rows).withColumn(DATE_COLUMN, _date_of(F.col("mta_timestamp")))
+    gaps = clean_positions(rows).withColumn(DATE_COLUMN, vehicle_date(F.col("mta_timestamp")))
     kept = gaps.filter(F.col(DATE_COLUMN).isin(*replaced)).hint("rebalance", DATE_COLUMN)
-    _replace_partitions(kept, table, DATE_COLUMN)
+    counted = Observation()
+    path = run_path(table, STREAM_RUN)
+    _replace_partitions(kept.observe(counted, F.count(F.lit(1)).alias("rows")), path, DATE_COLUMN)
+    written = F.col(DATE_COLUMN).isin(*replaced)
+    validate_count(spark, path, counted.get["rows"], kept, written)
+    return replaced
 
 
 def read_headways(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(f"{schemas.POSITIONS.rstrip()}, {DATE_COLUMN} date").parquet(table).drop(DATE_COLUMN)
+    return read_processed(spark, table, schemas.POSITIONS)

@@ -15,17 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import fixed_values as fv
+from ..plans import refresh
 from ..plans.processing import clean_alerts, clean_delays, clean_weather
 from ..sources import feeds, sinks
+from ..sources.scan import load_or_empty
 from ..sources.tables import processed_paths
 from ..sources.weather import load_raw_weather, stream_weather
 from .headway import headway_tables
-from .sinks import BatchWriter, run_stream
+from .sinks import BatchWriter, batch_run, run_stream
 
 
 @dataclass(frozen=True)
 class Landing:
-    """Folders (or patterns) that snapshots land in."""
+    """Folders that snapshots land in, at any depth."""
 
     trip_updates: str
     alerts: str
@@ -33,15 +35,52 @@ class Landing:
     weather: str
 
 
-def processed_batches(path: str, clean: Callable[[DataFrame], DataFrame]) -> BatchWriter:
-    """Add each cleaned batch as a run of its own, checked like any run; a replay replaces it."""
+def processed_batches(
+    path: str, clean: Callable[[DataFrame], DataFrame], noted: Callable[[DataFrame, int], None] | None = None
+) -> BatchWriter:
+    """Add each cleaned batch as a run of its own, checked like any run; a replay replaces it.
+
+    ``noted`` is told the stored rows of each batch.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sinks.save_processed(clean(batch), path, f"batch_{batch_id:09d}")
+        rows = clean(batch)
+        folder = sinks.save_processed(rows, path, batch_run(batch_id))
+        if noted is not None:
+            noted(load_or_empty(batch.sparkSession, lambda: batch.sparkSession.read.schema(rows.schema).parquet(folder), rows.schema), batch_id)
 
     return write
 
 
+def process_streams(
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    root: str,
+    state: str,
+    source_tz: str | None = None,
+    interval: str | None = None,
+    changes: str | None = None,
+) -> list[StreamingQuery]:
+    """Start one stream of raw rows per processed table below ``root``.
+
+    ``changes`` is a folder in which each batch notes the window dates it touches, for ``plans.refresh``.
+    """
+    paths = processed_paths(root)
+    cleaners = {"delays": clean_delays, "alerts": clean_alerts, "weather": partial(clean_weather, source_tz=source_tz)}
+
+    def noted(name: str) -> Callable[[DataFrame, int], None] | None:
+        def note(rows: DataFrame, batch_id: int) -> None:
+            refresh.log_changes(spark, changes, name, batch_run(batch_id), refresh.changed_dates(spark, root, name, rows))
+
+        return note if changes else None
+
+    writers = {name: processed_batches(paths[name], clean, noted(name)) for name, clean in cleaners.items()}
+    writers["vehicle_positions"] = headway_tables(
+        f"{state}/stored_positions", paths["vehicle_positions"], noted("vehicle_positions")
+    )
+    return [run_stream(rows, writers[name], f"{state}/checkpoints/{name}", "append", interval) for name, rows in raw.items()]
+
+
 def process_new(
     spark: SparkSession,
     landing: Landing,
@@ -52,6 +91,7 @@ def process_new(
     source_tz: str | None = None,
     interval: str | None = None,
     max_files: int | None = None,
+    changes: str | None = None,
 ) -> list[StreamingQuery]:
     """Start one stream per processed table below ``root``.
 
@@ -59,22 +99,11 @@ def process_new(
     ``interval`` the streams take what has landed and stop. The tables read like those of
     ``warehouse.process``, through ``open_catalog``.
     """
-    paths = processed_paths(root)
     feed = partial(feeds.stream_feed, spark, fmt=fmt, max_files=max_files)
-    jobs = {
-        "delays": (feeds.load_raw_delays(feed(landing.trip_updates), routes), clean_delays),
-        "alerts": (feeds.load_raw_alerts(feed(landing.alerts), routes), clean_alerts),
-        "weather": (
-            load_raw_weather(stream_weather(spark, landing.weather, fmt, max_files)),
-            partial(clean_weather, source_tz=source_tz),
-        ),
+    raw = {
+        "delays": feeds.load_raw_delays(feed(landing.trip_updates), routes),
+        "alerts": feeds.load_raw_alerts(feed(landing.alerts), routes),
+        "vehicle_positions": feeds.load_raw_positions(feed(landing.vehicle_positions), routes),
+        "weather": load_raw_weather(stream_weather(spark, landing.weather, fmt, max_files)),
     }
-    writers = {name: (rows, processed_batches(paths[name], clean)) for name, (rows, clean) in jobs.items()}
-    writers["vehicle_positions"] = (
-        feeds.load_raw_positions(feed(landing.vehicle_positions), routes),
-        headway_tables(f"{state}/stored_positions", paths["vehicle_positions"]),
-    )
-    return [
-        run_stream(rows, write, f"{state}/checkpoints/{name}", "append", interval)
-        for name, (rows, write) in writers.items()
-    ]
+    return process_streams(spark, raw, root, state, source_tz, interval, changes)

@@ -14,6 +14,11 @@ BATCH_COLUMN = "batch_id"
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+def batch_run(batch_id: int) -> str:
+    """The run that a micro-batch writes; a replayed batch replaces its own."""
+    return f"batch_{batch_id:09d}"
+
+
 def run_stream(
     stream: DataFrame,
     write_batch: BatchWriter,

@@ -1,88 +1,83 @@
-"""Windowed aggregations with bounded state.
+"""Window tables kept up to date from arriving rows, whatever their lateness.
 
-State is one row per route and open window, plus one small entry per deduplication key for as
-long as the watermark lets copies arrive. Later rows are dropped by the watermark; a batch run
-over the affected dates picks those up.
-
-The aggregations work in update mode (a window's row is sent again whenever it changes; keep it
-with ``sinks.changes_to``) and in append mode (sent once, when the watermark has passed it).
+A micro-batch is cleaned and stored as a run of its processed table; then the dates it touches are
+computed again from the stored rows and replaced. A window lies within one date, so that gives the
+batch result: nothing is dropped for being late, and no state grows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import fixed_values as fv
-from ..functions import classify
-from ..functions.numbers import null_to_zero
-from ..operators.dedup import DELAY_KEY
-from ..operators.filters import any_present, unnest_routes
+from .. import schemas
+from ..operators import aggregates
+from ..operators.filters import unnest_routes
 from ..operators.joins import join_stops, join_weather
+from ..plans.processing import clean_alerts, clean_delays
+from ..sources import sinks
+from ..sources.scan import load_or_empty
+from ..sources.tables import DATE_COLUMN, NO_DATE, read_processed, run_path
+from .sinks import BatchWriter, batch_run
+
+Clean = Callable[[DataFrame], DataFrame]
+
 
-WATERMARK = "30 minutes"
-WINDOW = f"{fv.WINDOW_MINUTES} minutes"
+def window_date() -> Column:
+    return F.coalesce(F.to_date("window_start"), F.lit(NO_DATE))
 
 
-def once(df: DataFrame, keys: Sequence[str], watermark: str = WATERMARK) -> DataFrame:
-    """The first arrival of each key; later polls repeat it."""
-    return df.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(keys))
+def dates_of(rows: DataFrame, column: str | Column = DATE_COLUMN) -> set[date]:
+    """The distinct dates of a column, a bounded handful; rows without one count as NO_DATE."""
+    column = F.col(column) if isinstance(column, str) else column
+    return {row[0] for row in rows.select(F.coalesce(column.cast("date"), F.lit(NO_DATE))).distinct().collect()}
 
 
-def clean_delays_stream(raw: DataFrame, keys: Sequence[str] = DELAY_KEY, watermark: str = WATERMARK) -> DataFrame:
-    known = once(any_present(raw, ["arrival_delay", "departure_delay"]), keys, watermark)
-    return known.withColumns(
-        {
-            "arrival_delay": null_to_zero("arrival_delay", "int"),
-            "departure_delay": null_to_zero("departure_delay", "int"),
-            "delay_severity": classify.delay_severity("arrival_delay"),
-        }
-    )
+def run_dates(spark: SparkSession, path: str, run_id: str) -> set[date]:
+    """The dates that a run has written, from the names of its folders."""
+    layout = f"{DATE_COLUMN} date"
+    return dates_of(load_or_empty(spark, lambda: spark.read.schema(layout).parquet(run_path(path, run_id)), layout))
 
 
-def _per_window(df: DataFrame):
-    return df.groupBy(F.window("event_time", WINDOW), "route_id")
+def replace_dates(table: DataFrame, path: str) -> None:
+    """Replace the date folders that the rows of a window table have, and no others."""
+    dated = table.withColumn(DATE_COLUMN, window_date()).hint("rebalance", DATE_COLUMN)
+    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(DATE_COLUMN).parquet(path)
 
 
-def _flat(aggregated: DataFrame) -> DataFrame:
-    measures = [column for column in aggregated.columns if column not in ("window", "route_id")]
-    return aggregated.select("route_id", F.col("window.start").alias("window_start"), *measures)
+def read_windows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(DATE_COLUMN)
 
 
-def _delay_windows(delays: DataFrame) -> DataFrame:
-    return _per_window(delays).agg(
-        F.avg("arrival_delay").alias("avg_delay_sec"),
-        F.max("arrival_delay").alias("max_delay_sec"),
-        F.count(F.lit(1)).alias("delay_records"),
-    )
+def window_batches(path: str, schema: str, clean: Clean, build: Clean, table: str) -> BatchWriter:
+    """Store each cleaned batch as a run below ``path`` and keep ``table``, what ``build`` makes of its rows."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, run = batch.sparkSession, batch_run(batch_id)
+        sinks.save_processed(clean(batch), path, run)
+        touched = run_dates(spark, path, run)
+        if touched:
+            replace_dates(build(read_processed(spark, path, schema, dates=touched)), table)
 
-def _alert_windows(alerts: DataFrame, watermark: str) -> DataFrame:
-    """Distinct alerts: a copy of an alert in the same window arrives within the watermark, as
-    the watermark is longer than the window."""
-    shown = unnest_routes(alerts).withColumn("_window", F.window("event_time", WINDOW)["start"])
-    return _per_window(once(shown, ["alert_id", "route_id", "_window"], watermark)).agg(
-        F.count("alert_id").alias("alerts_active")
-    )
+    return write
 
 
-def _headway_windows(positions: DataFrame) -> DataFrame:
-    return _per_window(positions).agg(
-        F.avg("headway_gap_sec").alias("avg_headway_gap_sec"),
-        F.max("headway_gap_sec").alias("max_headway_gap_sec"),
-    )
+def delay_windows(path: str, table: str) -> BatchWriter:
+    """Raw delays to the delay windows. A snapshot file arrives whole, so copies meet in its batch."""
+    return window_batches(path, schemas.DELAYS, clean_delays, aggregates.delays_by_window, table)
 
 
-def delays_by_window_stream(
-    raw: DataFrame, keys: Sequence[str] = DELAY_KEY, watermark: str = WATERMARK
-) -> DataFrame:
-    return _flat(_delay_windows(clean_delays_stream(raw, keys, watermark)))
+def alert_windows(path: str, table: str) -> BatchWriter:
+    """Raw alerts to the alerts per window."""
 
+    def build(alerts: DataFrame) -> DataFrame:
+        return aggregates.alert_count_by_window(unnest_routes(alerts))
 
-def alert_count_stream(alerts: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    return _flat(_alert_windows(alerts, watermark))
+    return window_batches(path, schemas.ALERTS, clean_alerts, build, table)
 
 
 def named_delays_stream(delays: DataFrame, stops: DataFrame) -> DataFrame:
@@ -91,35 +86,16 @@ def named_delays_stream(delays: DataFrame, stops: DataFrame) -> DataFrame:
 
 
 def weather_onto_windows(windows: DataFrame, weather: DataFrame) -> DataFrame:
-    """Stream to static: hourly weather (one row per hour) onto windows."""
+    """Hourly weather (one row per hour) onto windows, of a batch or a table."""
     return join_weather(windows, weather)
 
 
-def features_stream(
-    delays: DataFrame,
-    alerts: DataFrame,
-    positions: DataFrame,
-    weather: DataFrame,
-    watermark: str = WATERMARK,
-) -> DataFrame:
-    """Route and window features from three processed streams and hourly weather (append mode).
-
-    A window is sent once the watermark of all three streams has passed it.
-    """
-    left = _delay_windows(delays.withWatermark("event_time", watermark))
-    counts = _alert_windows(alerts, watermark)
-    gaps = _headway_windows(positions.withWatermark("event_time", watermark))
-    joined = left.join(counts, ["window", "route_id"], "left").join(gaps, ["window", "route_id"], "left")
-    windows = _flat(joined).withColumn("alerts_active", null_to_zero("alerts_active"))
-    return weather_onto_windows(windows, weather)
-
-
-__all__ = [
-    "alert_count_stream",
-    "clean_delays_stream",
-    "delays_by_window_stream",
-    "features_stream",
-    "named_delays_stream",
-    "once",
-    "weather_onto_windows",
-]
+def between_dates(column: str, dates: Iterable[date]) -> Column:
+    """Rows of those dates. The plain range in front reaches the scan's statistics."""
+    dates = sorted(set(dates) - {NO_DATE})
+    without = F.col(column).isNull()
+    if not dates:
+        return without
+    low, high = (F.lit(d).cast("timestamp") for d in (dates[0], dates[-1]))
+    within = (F.col(column) >= low) & (F.col(column) < high + F.expr("interval 1 day"))
+    return (within & F.to_date(column).isin(*dates)) | without

@@ -134,10 +134,16 @@ def test_file_instant(spark):
     assert evaluate(spark, "f string", names, times.file_instant("f", fallback).cast("string")) == [
         "2026-06-10 15:57:19",
         "2020-01-01 00:00:00",
-        "2020-01-01 00:00:00",
+        "2026-06-10 15:57:19",
     ]
 
 
+def test_from_epoch_has_no_overflow(spark):
+    seconds = [0, 9223372036854775807, -9223372036854775808, 253402300799, 253402300800, -62135596800, -62135596801]
+    read = evaluate(spark, "s bigint", seconds, times.from_epoch("s").isNotNull())
+    assert read == [True, False, False, True, False, True, False]
+
+
 def test_numbers(spark):
     assert evaluate(spark, "x double", [1.005, 2.5, -2.5, None], numbers.round_scaled("x", 2)) == [1.0, 2.5, -2.5, None]
     pairs = [(1, 3), (0, 0), (2, 2)]

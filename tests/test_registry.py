@@ -2,12 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from railgauge.registry.oracle import SQL
+from railgauge.registry.queries import QUERIES
 
 from compare import connect, spark_rows, sql_rows
 
-QUERIES, SQL = queries(), oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):

@@ -240,3 +240,13 @@ def test_views_and_tables(spark, tmp_path):
     assert sinks.materialize_table(df, "some_table", str(tmp_path / "t")).count() == 3
     assert sinks.materialize_table(df.limit(2), "some_table", str(tmp_path / "t")).count() == 2
     assert spark.read.parquet(sinks.save_features(df, str(tmp_path / "f"))).count() == 3
+
+
+def test_unreadable_feed_files_stop_the_read_or_are_counted(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/good.json").write_text('{"header": {"timestamp": 5}, "entity": []}\n')
+    (tmp_path / "a/cut.json").write_text('{"header": {"timestamp": 5}, "entity": [\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|FAILFAST"):
+        feeds.read_feed(spark, str(tmp_path), "json").collect()
+    counted = feeds.corrupt_lines(spark, str(tmp_path)).collect()
+    assert {(r.source_file.rsplit("/", 1)[1], r.lines, r.corrupt) for r in counted} == {("good.json", 1, 0), ("cut.json", 1, 1)}

@@ -3,11 +3,13 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from railgauge import schemas
-from railgauge.operators import aggregates, dedup, filters, joins
-from railgauge.plans import marts, processing, warehouse
+from railgauge.operators import aggregates, joins
+from railgauge.plans import processing, warehouse
 from railgauge.registry import views
 from railgauge.sources import feeds
 from railgauge.sources import sinks as table_sinks
@@ -35,71 +37,67 @@ def read(spark, folder, schema):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
 
 
-def changes(spark, stream, tmp_path, name):
-    sinks.drain(stream, sinks.changes_to(str(tmp_path / name)), str(tmp_path / f"{name}-checkpoint"))
-    return sinks.latest_changes(spark, str(tmp_path / name), list(aggregates.GRAIN))
-
-
 def same(left, right):
     assert spark_rows(left.select(*sorted(left.columns))) == spark_rows(right.select(*sorted(right.columns)))
 
 
+def in_files(df, parts):
+    """Whole source files per part, so that times are out of order."""
+    return df.withColumn("_part", F.pmod(F.hash("source_file"), F.lit(parts)).cast("bigint"))
+
+
+def windows_of(spark, raw, schema, writer_of, tmp_path, parts=3):
+    land(in_files(raw, parts), tmp_path / "in", parts, range(parts))
+    writer = writer_of(str(tmp_path / "rows"), str(tmp_path / "windows"))
+    sinks.drain(read(spark, tmp_path / "in", schema), writer, str(tmp_path / "checkpoint"), "append")
+    return windows.read_windows(spark, str(tmp_path / "windows"))
+
+
 def test_delay_windows(spark, sf_dir, tmp_path):
     raw = views.raw_delays(spark, sf_dir)
-    land(in_time_order(views.twice(raw), 4), tmp_path / "in", 4, range(4))
-    stream = windows.delays_by_window_stream(
-        read(spark, tmp_path / "in", schemas.RAW_DELAYS), [*dedup.DELAY_KEY, "event_time"]
-    )
-    known = filters.any_present(raw, ["arrival_delay", "departure_delay"]).na.fill(0, ["arrival_delay"])
-    windowed = known.withColumn("window_start", F.window("event_time", "15 minutes")["start"])
-    streamed = changes(spark, stream, tmp_path, "delays")
-    assert spark.read.parquet(str(tmp_path / "delays")).select("batch_id").distinct().count() >= 4
-    same(streamed, aggregates.delays_by_window(windowed))
-
-
-def test_alert_windows(spark, sf_dir, tmp_path):
-    alerts = views.alerts(spark, sf_dir)
-    land(in_time_order(views.twice(alerts), 3), tmp_path / "in", 3, range(3))
-    stream = windows.alert_count_stream(read(spark, tmp_path / "in", schemas.ALERTS))
-    same(
-        changes(spark, stream, tmp_path, "alerts"),
-        aggregates.alert_count_by_window(filters.unnest_routes(alerts)),
-    )
+    streamed = windows_of(spark, views.twice(raw), schemas.RAW_DELAYS, windows.delay_windows, tmp_path)
+    same(streamed, aggregates.delays_by_window(views.delays(spark, sf_dir)))
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    """A report hours late joins its window, and a replayed batch changes nothing."""
+    start = datetime(2024, 1, 1)
+    writer = windows.delay_windows(str(tmp_path / "rows"), str(tmp_path / "windows"))
+
+    def batch(number, minutes):
+        row = ("v", f"t{number}", "J", "A", 60, 60, f"f{number}", start + timedelta(minutes=minutes), number)
+        return spark.createDataFrame([row], schemas.RAW_DELAYS)
+
+    for number, minutes in enumerate([0, 3000, 3001, 1, 4500]):
+        writer(batch(number, minutes), number)
+    writer(batch(3, 1), 3)
+    found = {r.window_start: r.delay_records for r in windows.read_windows(spark, str(tmp_path / "windows")).collect()}
+    assert found == {start: 2, start + timedelta(minutes=3000): 2, start + timedelta(minutes=4500): 1}
 
 
 def test_polling_trigger(spark, tmp_path):
     """A running query picks up files as they land."""
 
     def land_one(number):
-        row = ("v", f"t{number}", "J", "A", 60, 60, "f", datetime(2024, 1, 1, 0, number), number)
+        row = ("v", f"t{number}", "J", "A", 60, 60, f"f{number}", datetime(2024, 1, 1, 0, number), number)
         spark.createDataFrame([row], schemas.RAW_DELAYS).coalesce(1).write.parquet(str(tmp_path / f"in/{number}"))
 
     land_one(0)
-    stream = windows.delays_by_window_stream(read(spark, tmp_path / "in", schemas.RAW_DELAYS))
-    writer = sinks.changes_to(str(tmp_path / "out"))
-    running = sinks.run_stream(stream, writer, str(tmp_path / "checkpoint"), interval="1 second")
+    writer = windows.delay_windows(str(tmp_path / "rows"), str(tmp_path / "out"))
+    stream = read(spark, tmp_path / "in", schemas.RAW_DELAYS)
+    running = sinks.run_stream(stream, writer, str(tmp_path / "checkpoint"), "append", interval="1 second")
     try:
         running.processAllAvailable()
         land_one(1)
         running.processAllAvailable()
     finally:
         running.stop()
-    rows = sinks.latest_changes(spark, str(tmp_path / "out"), list(aggregates.GRAIN)).collect()
-    assert [row.delay_records for row in rows] == [2]
-
+    assert [row.delay_records for row in windows.read_windows(spark, str(tmp_path / "out")).collect()] == [2]
 
-def test_late_rows_are_dropped_and_state_is_bounded(spark, tmp_path):
-    """A report hours behind the watermark changes nothing."""
-    start = datetime(2024, 1, 1)
-
-    def report(number, minutes):
-        return ("v", f"t{number}", "J", "A", 60, 60, "f", start + timedelta(minutes=minutes), number)
 
-    for number, rows in enumerate([[report(1, 0)], [report(2, 300)], [report(3, 301)], [report(4, 1)]]):
-        spark.createDataFrame(rows, schemas.RAW_DELAYS).coalesce(1).write.parquet(str(tmp_path / f"in/{number}"))
-    stream = windows.delays_by_window_stream(read(spark, tmp_path / "in", schemas.RAW_DELAYS))
-    found = {r.window_start: r.delay_records for r in changes(spark, stream, tmp_path, "out").collect()}
-    assert found == {start: 1, start + timedelta(minutes=300): 2}
+def test_missing_landing_folder_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        feeds.stream_feed(spark, str(tmp_path / "nowhere"))
 
 
 def test_headway_with_late_batches_and_replay(spark, sf_dir, tmp_path):
@@ -139,41 +137,11 @@ def test_headway_keeps_rows_without_time(spark, tmp_path):
     same(headway.read_headways(spark, str(tmp_path / "table")), processing.clean_positions(raw))
 
 
-def test_features_stream_sends_closed_windows(spark, sf_dir, tmp_path):
-    """Append mode: every window the watermark has passed, with the batch values."""
-    delays = views.delays(spark, sf_dir)
-    alerts = views.alerts(spark, sf_dir)
-    positions = views.positions(spark, sf_dir)
-    weather = dedup.latest_weather_snapshot(views.weather(spark, sf_dir)).select("obs_hour", *marts.WEATHER_COLUMNS)
-    for name, table in (("d", delays), ("a", alerts), ("p", positions)):
-        land(in_time_order(table, 3), tmp_path / name, 3, range(3))
-    stream = windows.features_stream(
-        read(spark, tmp_path / "d", schemas.DELAYS),
-        read(spark, tmp_path / "a", schemas.ALERTS),
-        read(spark, tmp_path / "p", schemas.POSITIONS),
-        weather,
-    )
-    sinks.drain(stream, sinks.changes_to(str(tmp_path / "out")), str(tmp_path / "checkpoint"), "append")
-    sent = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
-    batch = joins.star_join(
-        aggregates.delays_by_window(delays),
-        aggregates.alert_count_by_window(filters.unnest_routes(alerts)),
-        aggregates.headway_by_window(positions),
-        weather,
-    )
-    newest = min(table.agg(F.max("event_time")).first()[0] for table in (delays, alerts, positions))
-    passed = F.col("window_start") <= F.lit(newest - timedelta(minutes=30 + 15))
-    same(sent.filter(passed), batch.filter(passed))
-    assert sent.count() > 900
-    assert sent.count() == sent.select(*aggregates.GRAIN).distinct().count()
-    assert sent.exceptAll(batch.select(*sent.columns)).isEmpty()
-
-
 def test_named_stream_and_nested_source(spark, sf_dir, tmp_path):
     """Nested snapshots as a stream, flattened and joined to the static stops."""
     feed = views.feed(spark, sf_dir)
     feed.coalesce(1).write.parquet(str(tmp_path / "in/0"))
-    raw = feeds.load_raw_delays(feeds.stream_feed(spark, f"{tmp_path}/in/*"), views.ROUTES)
+    raw = feeds.load_raw_delays(feeds.stream_feed(spark, f"{tmp_path}/in"), views.ROUTES)
     named = windows.named_delays_stream(raw, views.stops(spark, sf_dir))
 
     def write(batch, batch_id):
@@ -187,7 +155,7 @@ def test_named_stream_and_nested_source(spark, sf_dir, tmp_path):
 def test_processing_new_files_equals_processing_everything(spark, sf_dir, tmp_path):
     """Snapshots landing in three rounds, streamed round by round, against one batch run."""
     feed, responses = views.feed(spark, sf_dir), views.weather_responses(spark, sf_dir)
-    landing = stream_processing.Landing(*[f"{tmp_path}/feed/*"] * 3, f"{tmp_path}/weather/*")
+    landing = stream_processing.Landing(*[f"{tmp_path}/feed"] * 3, f"{tmp_path}/weather")
 
     def part(df, number):
         return df.filter(F.pmod(F.hash("source_file"), F.lit(3)) == number)
