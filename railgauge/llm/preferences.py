@@ -1,7 +1,7 @@
 """Preference pairs with a shared prompt, in built-in functions only.
 
-Conversations with the same first turn answer the same request: the one with the longest assistant
-turns is chosen, each other one is rejected. A conversation that is alone with its request is chosen
+Conversations with the same request, or for preference_pairs with the same first turn, answer the same:
+the one with the longest assistant turns is chosen, each other one is rejected. A conversation that is alone with its request is chosen
 against itself with its last answer replaced by the next conversation's. The longest common prefix of
 the two turn lists is rendered once as the prompt, and what follows in each is rendered as a completion
 with the stretches that a loss is taken over: the assistant's turns.
@@ -76,6 +76,39 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
+ANSWERS = "filter(turns, t -> t.role = 'assistant')"
+
+
+def _weight() -> Column:
+    """Characters of the assistant's turns."""
+    return F.aggregate(F.expr(ANSWERS), F.lit(0).cast("long"), lambda n, t: n + F.length(t["text"]))
+
+
+def _swapped(alone: DataFrame, ranges: int) -> DataFrame:
+    """chosen_id, rejected_id, chosen, rejected: against the same turns with the next conversation's last answer."""
+    answered = alone.withColumn("answers", F.expr(ANSWERS)).filter("size(answers) > 0")
+    answered = answered.select("conv_id", "turns", F.element_at("answers", -1).alias("answer"), F.lit(0).cast("long").alias("tie"))
+    rows = in_ranges(answered, "conv_id", "tie", ranges)
+    other = F.lead(F.struct("conv_id", "answer")).over(order_in_range("conv_id", "tie"))
+    paired = rows.withColumn("other", other).filter("not copy and answer <> other.answer")
+    last = F.array_max(F.expr("filter(sequence(1, size(turns)), i -> turns[i - 1].role = 'assistant')"))
+    return paired.select(
+        F.col("conv_id").alias("chosen_id"),
+        F.col("other.conv_id").alias("rejected_id"),
+        F.col("turns").alias("chosen"),
+        F.concat(F.slice("turns", F.lit(1), last - 1), F.array("other.answer")).alias("rejected"),
+    )
+
+
+def _formatted(whole: DataFrame, several: DataFrame, alone: DataFrame, partitions: int) -> DataFrame:
+    """The pairs of several (chosen_id, rejected_id), and of conversations that are alone with their request."""
+    several = several.join(whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen")), "chosen_id").join(
+        whole.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected")), "rejected_id"
+    )
+    swapped = _swapped(alone, 4 * partitions)
+    return format_pairs(several.select("chosen_id", "rejected_id", "chosen", "rejected").unionByName(swapped))
+
+
 def preference_pairs(turns: DataFrame) -> DataFrame:
     """chosen_id, rejected_id, n_common, prompt, chosen, rejected, chosen_mask, rejected_mask.
 
@@ -92,14 +125,12 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
 
     Groups are never gathered: the chosen conversation is found by an aggregate and joined back.
     """
-    answers = F.filter("turns", lambda t: t["role"] == "assistant")
-    weight = F.aggregate(answers, F.lit(0).cast("long"), lambda n, t: n + F.length(t["text"]))
     whole = conversations_of(turns.withColumn("conv_id", F.col("conv_id").cast("long")))
     sized = whole.select(
         "conv_id",
         F.sha2(F.to_json(F.col("turns")), 256).alias("digest"),
         F.sha2(F.to_json(F.slice("turns", 1, 1)), 256).alias("request"),
-        weight.alias("weight"),
+        _weight().alias("weight"),
     )
     kept = sized.groupBy("request", "digest").agg(F.min("conv_id").alias("conv_id"), F.first("weight").alias("weight"))
     groups = kept.groupBy("request").agg(
@@ -108,22 +139,56 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
     groups = groups.select("request", (-F.col("best.last")).alias("chosen_id"), "n")
     placed = kept.join(groups, "request")
     several = placed.filter("n > 1 and conv_id <> chosen_id").select("chosen_id", F.col("conv_id").alias("rejected_id"))
-    several = several.join(whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen")), "chosen_id").join(
-        whole.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected")), "rejected_id"
-    )
+    alone = whole.join(placed.filter("n = 1").select("conv_id"), "conv_id")
+    return _formatted(whole, several, alone, shuffle_partitions(turns))
 
-    alone = whole.join(placed.filter("n = 1").select("conv_id"), "conv_id").withColumn("answers", answers)
-    alone = alone.filter("size(answers) > 0").select(
-        "conv_id", "turns", F.element_at("answers", -1).alias("answer"), F.lit(0).cast("long").alias("tie")
-    )
-    rows = in_ranges(alone, "conv_id", "tie", 4 * shuffle_partitions(turns))
-    other = F.lead(F.struct("conv_id", "answer")).over(order_in_range("conv_id", "tie"))
-    paired = rows.withColumn("other", other).filter("not copy and answer <> other.answer")
-    last = F.array_max(F.expr("filter(sequence(1, size(turns)), i -> turns[i - 1].role = 'assistant')"))
-    swapped = paired.select(
-        F.col("conv_id").alias("chosen_id"),
-        F.col("other.conv_id").alias("rejected_id"),
-        F.col("turns").alias("chosen"),
-        F.concat(F.slice("turns", F.lit(1), last - 1), F.array("other.answer")).alias("rejected"),
-    )
-    return format_pairs(several.select("chosen_id", "rejected_id", "chosen", "rejected").unionByName(swapped))
+
+def _prefixes(conversations: DataFrame) -> DataFrame:
+    """conv_id, weight, n_turns, prefix: a row for every request, that is, turns that an answer follows or that end there.
+
+    A request has a turn that is neither the system's nor the assistant's. prefix is a running hash.
+    """
+    empty = F.expr("cast(array() as array<struct<n_turns:int,prefix:string>>)")
+    start = F.struct(F.lit("").alias("hash"), F.lit(0).alias("n"), F.lit(False).alias("asked"), empty.alias("found"))
+
+    def step(state: Column, turn: Column) -> Column:
+        own = F.array(F.struct(state["n"].alias("n_turns"), state["hash"].alias("prefix")))
+        ends = state["asked"] & (turn["role"] == "assistant")
+        return F.struct(
+            F.sha2(F.concat(state["hash"], F.to_json(F.struct(turn["role"], turn["text"]))), 256).alias("hash"),
+            (state["n"] + 1).alias("n"),
+            (state["asked"] | ~turn["role"].isin("system", "assistant")).alias("asked"),
+            F.when(ends, F.concat(state["found"], own)).otherwise(state["found"]).alias("found"),
+        )
+
+    def finish(state: Column) -> Column:
+        own = F.array(F.struct(state["n"].alias("n_turns"), state["hash"].alias("prefix")))
+        return F.when(state["asked"], F.concat(state["found"], own)).otherwise(state["found"])
+
+    found = conversations.select("conv_id", "weight", F.explode(F.aggregate("turns", start, step, finish)).alias("found"))
+    return found.select("conv_id", "weight", "found.n_turns", "found.prefix")
+
+
+def request_pairs(turns: DataFrame) -> DataFrame:
+    """The columns of preference_pairs, for conversations that share a request, however many turns it has.
+
+    turns is read, and equal conversations count once, as in preference_pairs. A request is the leading
+    turns before an assistant's turn, or all turns, if one of them is neither the system's nor the
+    assistant's; so a shared system prompt alone makes no pair. Of the conversations that begin with one
+    request, the best has the most assistant characters, then the smallest conv_id. Each conversation is
+    rejected once, against the best of the longest request of which it is not the best itself.
+
+    A conversation that shares no request makes a row as one that is alone in preference_pairs.
+    """
+    whole = conversations_of(turns.withColumn("conv_id", F.col("conv_id").cast("long")))
+    sized = whole.select("conv_id", F.sha2(F.to_json(F.col("turns")), 256).alias("digest"))
+    kept = whole.join(sized.groupBy("digest").agg(F.min("conv_id").alias("conv_id")).select("conv_id"), "conv_id", "left_semi")
+    prefixes = _prefixes(kept.withColumn("weight", _weight()))
+    best = F.max(F.struct("weight", (-F.col("conv_id")).alias("last"))).alias("best")
+    groups = prefixes.groupBy("prefix").agg(best, F.count("*").alias("n")).filter("n > 1")
+    placed = prefixes.join(groups.select("prefix", (-F.col("best.last")).alias("chosen_id")), "prefix")
+    longest = F.max(F.when(F.col("conv_id") != F.col("chosen_id"), F.struct("n_turns", "chosen_id"))).alias("longest")
+    shared = placed.groupBy("conv_id").agg(longest)
+    several = shared.filter("longest is not null").select(F.col("longest.chosen_id").alias("chosen_id"), F.col("conv_id").alias("rejected_id"))
+    alone = kept.join(shared.select("conv_id"), "conv_id", "left_anti")
+    return _formatted(whole, several, alone, shuffle_partitions(turns))

@@ -27,7 +27,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preferences.preference_pairs(read(spark, sf_dir, "conversations"))
+    return preferences.request_pairs(read(spark, sf_dir, "conversations"))
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

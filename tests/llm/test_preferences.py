@@ -1,6 +1,6 @@
 import random
 
-from railgauge.llm.preferences import CLOSE, OPEN, preference_pairs
+from railgauge.llm.preferences import CLOSE, OPEN, preference_pairs, request_pairs
 
 
 def shown(turns):
@@ -77,3 +77,58 @@ def test_whole_table(spark, sf_dir):
 def test_no_rows_and_one(spark):
     assert got(preference_pairs(spark.createDataFrame([], SCHEMA))) == []
     assert got(preference_pairs(spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], SCHEMA))) == []
+
+
+def plain_requests(whole):
+    """(chosen, rejected) of conversations that share a request, and those that share none."""
+    def length(c):
+        return sum(len(t) for r, t in whole[c] if r == "assistant")
+
+    kept = {}
+    for conv in sorted(whole):
+        kept.setdefault(tuple(whole[conv]), conv)
+    groups = {}
+    for turns, conv in kept.items():
+        for n in range(1, len(turns) + 1):
+            if (n == len(turns) or turns[n][0] == "assistant") and any(r not in ("system", "assistant") for r, _ in turns[:n]):
+                groups.setdefault(turns[:n], []).append(conv)
+    pairs, shared = {}, set()
+    for prefix in sorted(groups, key=len):
+        if len(groups[prefix]) > 1:
+            best = min(groups[prefix], key=lambda c: (-length(c), c))
+            pairs |= {c: best for c in groups[prefix] if c != best}
+            shared |= set(groups[prefix])
+    return {(c, r) for r, c in pairs.items()}, set(kept.values()) - shared
+
+
+def rows_of(whole):
+    return [(c, n, r, t) for c, turns in whole.items() for n, (r, t) in enumerate(turns)]
+
+
+def query(spark, folder, whole):
+    from railgauge.llm.queries import op3_preferences
+
+    spark.createDataFrame(rows_of(whole), SCHEMA).write.parquet(f"{folder}/conversations.parquet")
+    return op3_preferences(spark, str(folder)).collect()
+
+
+def test_a_shared_system_prompt_is_no_request(spark, tmp_path):
+    prompt = ("system", "Be kind.")
+    whole = {c: [prompt, ("user", f"q{c // 3}"), ("assistant", "a" * (c + 1))] for c in range(12)}
+    whole[20] = [prompt, ("assistant", "hello"), ("user", "own"), ("assistant", "b" * 50)]
+    pairs = {(r["chosen_id"], r["rejected_id"]): r["n_common"] for r in query(spark, tmp_path, whole)}
+    assert pairs == {(c // 3 * 3 + 2, c): 2 for c in range(12) if c % 3 < 2}
+
+
+def test_longest_shared_request(spark):
+    rng = random.Random(6)
+    whole = {}
+    for c in range(80):
+        turns = [("system", rng.choice("st"))] if rng.random() < 0.5 else []
+        for _ in range(rng.randint(1, 4)):
+            turns += [("user", rng.choice("uv")), ("assistant", rng.choice(["a", "bb"]))]
+        whole[c] = turns[: len(turns) - rng.randint(0, 1)]
+    whole[90] = [("user", "only here"), ("assistant", "x")]
+    got_pairs = {(r["chosen_id"], r["rejected_id"]) for r in request_pairs(spark.createDataFrame(rows_of(whole), SCHEMA)).collect()}
+    pairs, alone = plain_requests(whole)
+    assert got_pairs == pairs and alone == {90} and len(pairs) > 40
