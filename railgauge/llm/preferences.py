@@ -2,14 +2,16 @@
 
 Conversations with the same request, or for preference_pairs with the same first turn, answer the same:
 the one with the longest assistant turns is chosen, each other one is rejected. A conversation that is alone with its request is chosen
-against itself with its last answer replaced by the next conversation's. The longest common prefix of
+against itself with its last answer replaced by the next conversation's (the next different one in request_pairs). The longest common prefix of
 the two turn lists is rendered once as the prompt, and what follows in each is rendered as a completion
 with the stretches that a loss is taken over: the assistant's turns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions
@@ -84,13 +86,39 @@ def _weight() -> Column:
     return F.aggregate(F.expr(ANSWERS), F.lit(0).cast("long"), lambda n, t: n + F.length(t["text"]))
 
 
-def _swapped(alone: DataFrame, ranges: int) -> DataFrame:
-    """chosen_id, rejected_id, chosen, rejected: against the same turns with the next conversation's last answer."""
-    answered = alone.withColumn("answers", F.expr(ANSWERS)).filter("size(answers) > 0")
-    answered = answered.select("conv_id", "turns", F.element_at("answers", -1).alias("answer"), F.lit(0).cast("long").alias("tie"))
+def _next(answered: DataFrame, ranges: int) -> DataFrame:
+    """conv_id and other (conv_id, answer) of the next row by conv_id, if its answer differs."""
     rows = in_ranges(answered, "conv_id", "tie", ranges)
     other = F.lead(F.struct("conv_id", "answer")).over(order_in_range("conv_id", "tie"))
-    paired = rows.withColumn("other", other).filter("not copy and answer <> other.answer")
+    return rows.withColumn("other", other).filter("not copy and answer <> other.answer").select("conv_id", "other")
+
+
+def _next_different(answered: DataFrame, ranges: int) -> DataFrame:
+    """conv_id and other (conv_id, answer) of the next row by conv_id that has a different answer; the last row is followed by the first.
+
+    Rows with equal answers that follow one another are a run; the row after its end is what all of them
+    look for. The end may lie in a later range, so the first end of each range is passed to the ranges before.
+    """
+    rows = in_ranges(answered, "conv_id", "tie", ranges)
+    after = F.lead(F.struct("conv_id", "answer")).over(order_in_range("conv_id", "tie"))
+    rows = rows.withColumn("after", after).filter("not copy").select("conv_id", "range", F.expr("if(answer <> after.answer, after, null)").alias("after"))
+    firsts = rows.groupBy("range").agg(F.min(F.when(F.col("after").isNotNull(), F.struct("conv_id", "after"))).alias("first"))
+    # One row per range, as in in_ranges.
+    order = Window.orderBy("range")
+    later = F.first("first.after", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    any_one = F.first("first.after", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    carried = firsts.select("range", F.coalesce(later, any_one).alias("carried"))
+    # From the last row back, so that the frame only grows.
+    back = Window.partitionBy("range").orderBy(F.desc("conv_id")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.withColumn("here", F.last("after", ignorenulls=True).over(back)).join(F.broadcast(carried), "range")
+    return found.select("conv_id", F.coalesce("here", "carried").alias("other")).filter("other is not null")
+
+
+def _swapped(alone: DataFrame, ranges: int, following: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """chosen_id, rejected_id, chosen, rejected: against the same turns with a following conversation's last answer."""
+    answered = alone.withColumn("answers", F.expr(ANSWERS)).filter("size(answers) > 0")
+    answered = answered.select("conv_id", F.element_at("answers", -1).alias("answer"), F.lit(0).cast("long").alias("tie"))
+    paired = alone.join(following(answered, ranges), "conv_id")
     last = F.array_max(F.expr("filter(sequence(1, size(turns)), i -> turns[i - 1].role = 'assistant')"))
     return paired.select(
         F.col("conv_id").alias("chosen_id"),
@@ -100,12 +128,11 @@ def _swapped(alone: DataFrame, ranges: int) -> DataFrame:
     )
 
 
-def _formatted(whole: DataFrame, several: DataFrame, alone: DataFrame, partitions: int) -> DataFrame:
-    """The pairs of several (chosen_id, rejected_id), and of conversations that are alone with their request."""
+def _formatted(whole: DataFrame, several: DataFrame, swapped: DataFrame) -> DataFrame:
+    """The pairs of several (chosen_id, rejected_id), and those of conversations that are alone with their request."""
     several = several.join(whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen")), "chosen_id").join(
         whole.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected")), "rejected_id"
     )
-    swapped = _swapped(alone, 4 * partitions)
     return format_pairs(several.select("chosen_id", "rejected_id", "chosen", "rejected").unionByName(swapped))
 
 
@@ -140,7 +167,7 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
     placed = kept.join(groups, "request")
     several = placed.filter("n > 1 and conv_id <> chosen_id").select("chosen_id", F.col("conv_id").alias("rejected_id"))
     alone = whole.join(placed.filter("n = 1").select("conv_id"), "conv_id")
-    return _formatted(whole, several, alone, shuffle_partitions(turns))
+    return _formatted(whole, several, _swapped(alone, 4 * shuffle_partitions(turns), _next))
 
 
 def _prefixes(conversations: DataFrame) -> DataFrame:
@@ -178,7 +205,9 @@ def request_pairs(turns: DataFrame) -> DataFrame:
     request, the best has the most assistant characters, then the smallest conv_id. Each conversation is
     rejected once, against the best of the longest request of which it is not the best itself.
 
-    A conversation that shares no request makes a row as one that is alone in preference_pairs.
+    A conversation that shares no request makes a row if it has an answer: rejected are its own turns with
+    its last answer replaced by that of the next such conversation that has a different one (by conv_id;
+    the last is followed by the first). Only where all have one and the same answer there is none.
     """
     whole = conversations_of(turns.withColumn("conv_id", F.col("conv_id").cast("long")))
     sized = whole.select("conv_id", F.sha2(F.to_json(F.col("turns")), 256).alias("digest"))
@@ -191,4 +220,4 @@ def request_pairs(turns: DataFrame) -> DataFrame:
     shared = placed.groupBy("conv_id").agg(longest)
     several = shared.filter("longest is not null").select(F.col("longest.chosen_id").alias("chosen_id"), F.col("conv_id").alias("rejected_id"))
     alone = kept.join(shared.select("conv_id"), "conv_id", "left_anti")
-    return _formatted(whole, several, alone, shuffle_partitions(turns))
+    return _formatted(whole, several, _swapped(alone, 4 * shuffle_partitions(turns), _next_different))

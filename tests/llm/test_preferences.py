@@ -132,3 +132,19 @@ def test_longest_shared_request(spark):
     got_pairs = {(r["chosen_id"], r["rejected_id"]) for r in request_pairs(spark.createDataFrame(rows_of(whole), SCHEMA)).collect()}
     pairs, alone = plain_requests(whole)
     assert got_pairs == pairs and alone == {90} and len(pairs) > 40
+
+
+def test_a_canned_answer_loses_no_conversation(spark, tmp_path):
+    rng = random.Random(7)
+    answers = {c: "I cannot help." if 30 <= c < 90 or rng.random() < 0.4 else rng.choice("xyz") for c in range(150)}
+    answers[0] = answers[149] = "I cannot help."
+    whole = {c: [("user", f"own {c}"), ("assistant", a)] for c, a in answers.items()}
+    expected = {}
+    for c, a in answers.items():
+        other = next(d for d in [*range(c + 1, 150), *range(c)] if answers[d] != a)
+        expected[c] = (other, f"{OPEN}assistant\n{answers[other]}{CLOSE}\n")
+    assert {r["chosen_id"]: (r["rejected_id"], r["rejected"]) for r in query(spark, tmp_path, whole)} == expected
+
+
+def test_one_answer_for_all(spark, tmp_path):
+    assert query(spark, tmp_path, {c: [("user", f"own {c}"), ("assistant", "no")] for c in range(20)}) == []
