@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, near_duplicates, packing, personal, preferences, quality, substrings, token_counts, urls
-from .common import read
+from . import (
+    decontamination,
+    fingerprints,
+    lexical_search,
+    near_duplicates,
+    packing,
+    periodic_runs,
+    personal,
+    preferences,
+    quality,
+    substrings,
+    token_counts,
+    urls,
+    warc,
+)
+from .common import read, shared_folder, written
 from .oracle import SQL
 
 
@@ -68,6 +84,21 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.with_loops(read(spark, sf_dir, "documents"))))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
+    warc.write_archives(read(spark, sf_dir, "pages"), archives, least_bytes=1000)
+    records = written(warc.read_records(spark, archives), "records")
+    return warc.page_captures(written(warc.assemble(records), "captures"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
@@ -79,6 +110,9 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_warc": op13_warc,
 }
 
 
