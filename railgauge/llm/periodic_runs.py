@@ -159,12 +159,18 @@ def periodic_runs(docs: DataFrame, least: int = 6) -> DataFrame:
     return rows.mapInArrow(_runs(least), f"doc_id long, n_words long, runs {RUNS}, collapsed string")
 
 
-def looped(text: Column, start: Column, period: Column) -> Column:
-    """The text's words with each word from `start` on (below the number of words) taken from the first `period` of them."""
-    words = F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))
-    source = lambda i: F.when(i < start, i).otherwise(start + F.pmod(i - start, period))
-    numbers = F.sequence(F.lit(0).cast("long"), F.greatest(F.size(words) - 1, F.lit(0)).cast("long"))
-    return F.array_join(F.transform(numbers, lambda i: F.get(words, source(i).cast("int"))), " ")
+def looped(words: Column, start: Column, period: Column) -> Column:
+    """The words, joined by one space, with each from `start` on (below their number) taken from the first `period` of them."""
+
+    def repeat(bound: Column) -> Column:
+        words, start, period = bound["words"], bound["start"], bound["period"]
+        numbers = F.sequence(F.lit(0).cast("long"), F.greatest(F.size(words) - 1, F.lit(0)).cast("long"))
+        source = lambda i: F.when(i < start, i).otherwise(start + F.pmod(i - start, period))
+        return F.array_join(F.transform(numbers, lambda i: F.get(words, source(i).cast("int"))), " ")
+
+    # An array of one element binds the three, so that they are not worked out again for each word.
+    bound = F.struct(words.alias("words"), start.alias("start"), period.alias("period"))
+    return F.get(F.transform(F.array(bound), repeat), F.lit(0))
 
 
 def with_loops(docs: DataFrame) -> DataFrame:
@@ -177,10 +183,15 @@ def with_loops(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     g = F.floor(h / 10).cast("long")
-    n = F.regexp_count("text", F.lit(WORDS)).cast("long")
-    start = F.pmod(g, F.greatest(n, F.lit(1).cast("long")))
-    period = 1 + F.floor((n - start) / (3 + g % 8)).cast("long")
-    return rows.select("doc_id", F.when((h % 10 == 0) & (n > 0), looped(F.col("text"), start, period)).otherwise(F.col("text")).alias("text"))
+
+    def loop(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        start = F.pmod(g, F.greatest(n, F.lit(1).cast("long")))
+        return F.when(n > 0, looped(words, start, 1 + F.floor((n - start) / (3 + g % 8)).cast("long")))
+
+    words = F.regexp_extract_all("text", F.lit(WORDS), F.lit(0))
+    text = F.when(h % 10 == 0, F.get(F.transform(F.array(words), loop), F.lit(0)))
+    return rows.select("doc_id", F.coalesce(text, F.col("text")).alias("text"))
 
 
 def digests(found: DataFrame) -> DataFrame:
