@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from .words import mix, shingle_hashes, slices, words_of
 
 FEATURE_BITS = 17
+#: Text whose features a task makes at a time.
+SLICE = 1 << 20
 REPEAT = np.uint64(0x5EED)
 _SHIFT = np.uint64(64 - FEATURE_BITS)
 
@@ -98,17 +100,19 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, smoothing: float = 1.0, pena
     use = np.flatnonzero(~held)
     good = max(int(labels[use].sum()), 1)
     upper = {True: penalty * max(len(use) / (2 * good), 1e-9), False: penalty * len(use) / (2 * max(len(use) - good, 1))}
-    scaled = [ratios[f] / max(np.sqrt(np.square(ratios[f]).sum()), 1e-12) for f in rows]
+    # A row's scaled values are taken from the ratios when they are needed, not kept beside its features.
+    factor = [1 / max(np.sqrt(np.square(ratios[f]).sum()), 1e-12) for f in rows]
     duals, order = np.zeros(len(rows)), np.random.default_rng(7)
     for _ in range(epochs):
         for i in order.permutation(use):
             sign = 1.0 if labels[i] else -1.0
-            slack = 1.0 - sign * float(weights[rows[i]] @ scaled[i])
+            scaled = ratios[rows[i]] * factor[i]
+            slack = 1.0 - sign * float(weights[rows[i]] @ scaled)
             new = min(max(duals[i] + slack, 0.0), upper[bool(labels[i])])
             if new != duals[i]:
-                weights[rows[i]] += (new - duals[i]) * sign * scaled[i]
+                weights[rows[i]] += (new - duals[i]) * sign * scaled
                 duals[i] = new
-    margins = np.array([float(weights[f] @ x) for f, x in zip(rows, scaled, strict=True)])
+    margins = np.array([float(weights[f] @ ratios[f]) * x for f, x in zip(rows, factor, strict=True)])
     some = held if held.any() else ~held
     slope, offset = _curve(margins[some], labels[some]) if len(rows) else (0.0, 0.0)
     return Model(ratios.astype(np.float32), weights.astype(np.float32), slope, offset)
@@ -116,7 +120,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, smoothing: float = 1.0, pena
 
 def _indicators(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             found = pa.array([f.astype(np.int32) for f in features_of(part.column("text"))], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "label": part.column("label"), "found": found})
 
@@ -124,10 +128,11 @@ def _indicators(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, labels = [], []
     for batch in batches:
-        rows += [np.asarray(r) for r in batch.column("found").to_pylist()]
-        labels += batch.column("label").to_pylist()
-    rows = [r.astype(np.int64) for r in rows]
-    model = fit(rows, np.array(labels, dtype=bool))
+        found = batch.column("found")
+        # Views of the batch's own 32-bit numbers.
+        rows += np.split(found.flatten().to_numpy(), np.cumsum(found.value_lengths().to_numpy())[:-1])
+        labels.append(batch.column("label").to_numpy() == 1)
+    model = fit(rows, np.concatenate([np.empty(0, dtype=bool), *labels]))
     yield pa.RecordBatch.from_pydict(
         {"ratios": [model.ratios.tobytes()], "weights": [model.weights.tobytes()], "slope": [model.slope], "offset": [model.offset]}
     )
@@ -159,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 8000) -> Model:
 def _score(model: Model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 score = pa.array([model.score(f) for f in features_of(part.column("text"))], pa.float64())
                 yield pa.RecordBatch.from_arrays([*part.columns, score], names=[*part.schema.names, name])
 
