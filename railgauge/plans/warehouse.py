@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..operators.filters import on_routes
-from ..sources import feeds, sinks
+from ..sources import feeds, sinks, versions
 from ..sources.tables import default_stops, open_catalog, processed_paths, vehicle_date
 from ..sources.weather import load_raw_weather
 from . import marts, processing, staging
@@ -34,14 +34,31 @@ def process(
     run_id: str | None = None,
     source_tz: str | None = None,
 ) -> dict[str, str]:
-    """Flatten, clean and add one run to each processed table."""
+    """Flatten, clean and add one run to each processed table.
+
+    Delays, alerts and weather are deduplicated within a file. Where each file is one row, that is done inside the
+    row, without a shuffle; where some file has several, rows of the whole input meet by key.
+    """
+
+    def whole(frame: DataFrame) -> bool:
+        return feeds.split_files(frame).isEmpty()
+
+    def clean_delays(feed: DataFrame) -> DataFrame:
+        return processing.snapshot_delays(feed, routes) if whole(feed) else processing.clean_delays(feeds.load_raw_delays(feed, routes))
+
+    def clean_alerts(feed: DataFrame) -> DataFrame:
+        return processing.snapshot_alerts(feed, routes) if whole(feed) else processing.clean_alerts(feeds.load_raw_alerts(feed, routes))
+
+    def clean_weather(responses: DataFrame) -> DataFrame:
+        if whole(responses):
+            return processing.snapshot_weather(responses, source_tz)
+        return processing.clean_weather(load_raw_weather(responses), source_tz)
+
     cleaned = {
-        "delays": processing.clean_delays(feeds.load_raw_delays(snapshots.trip_updates, routes)),
-        "alerts": processing.clean_alerts(feeds.load_raw_alerts(snapshots.alerts, routes)),
-        "vehicle_positions": processing.clean_positions(
-            feeds.load_raw_positions(snapshots.vehicle_positions, routes)
-        ),
-        "weather": processing.clean_weather(load_raw_weather(snapshots.weather), source_tz),
+        "delays": clean_delays(snapshots.trip_updates),
+        "alerts": clean_alerts(snapshots.alerts),
+        "vehicle_positions": processing.clean_positions(feeds.load_raw_positions(snapshots.vehicle_positions, routes)),
+        "weather": clean_weather(snapshots.weather),
     }
     run_id = run_id or sinks.new_run_id()
     paths = processed_paths(root)
@@ -103,11 +120,11 @@ def run_all(
     features = marts.combined_features(
         catalog["delays"], catalog["alerts"], catalog["weather"], catalog["vehicle_positions"]
     )
-    features_path = sinks.save_features(features, f"{root}/features/combined")
+    sinks.save_features(features, f"{root}/features/combined")
     stage = staging_views(spark, catalog, stops, routes)
     return {
         **catalog,
         **stage,
         **build_marts(stage, f"{root}/marts", as_of),
-        "combined_features": spark.read.parquet(features_path),
+        "combined_features": versions.read(spark, f"{root}/features/combined"),
     }

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from .. import schemas
 from ..functions.times import from_epoch
+from ..operators.dedup import first_in_array
 from .scan import load_or_empty
 
 # Landing folders hold a sub-folder per poll.
@@ -150,6 +151,62 @@ def _first_translation(field: str) -> Column:
     return F.coalesce(first["text"], F.lit(""))
 
 
+def split_files(snapshots: DataFrame) -> DataFrame:
+    """Files that more than one row comes from: there, what is first in a row need not be first in the file."""
+    return snapshots.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+
+
+def first_raw_delays(feed: DataFrame, routes: Sequence[str] | None = fv.DEFAULT_ROUTES) -> DataFrame:
+    """The first stop-time update with a delay of each vehicle, trip and stop, one snapshot at a time.
+
+    What ``load_raw_delays`` and the deduplication by file give where each file is one row, but narrow: the updates
+    of a snapshot are one array, from which the first of each key is taken before it becomes rows.
+    """
+    wanted = F.arrays_zip(F.col("entity.id").alias("id"), F.col("entity.trip_update").alias("trip_update"))
+
+    def has_updates(entity: Column) -> Column:
+        on_route = F.lit(True) if routes is None else entity["trip_update"]["trip"]["route_id"].isin(*routes)
+        return on_route & entity["trip_update"]["stop_time_update"].isNotNull()
+
+    def text(column: Column) -> Column:
+        return F.coalesce(column, F.lit(""))
+
+    def late(event: Column) -> Column:
+        return F.when(event.isNotNull(), F.coalesce(event["delay"], F.lit(0)))
+
+    def rows(entity: Column) -> Column:
+        trip = entity["trip_update"]["trip"]
+        return F.transform(
+            entity["trip_update"]["stop_time_update"],
+            lambda update: F.struct(
+                text(entity["id"]).alias("vehicle_id"),
+                text(trip["trip_id"]).alias("trip_id"),
+                text(trip["route_id"]).alias("route_id"),
+                text(update["stop_id"]).alias("stop_id"),
+                late(update["arrival"]).alias("arrival_delay"),
+                late(update["departure"]).alias("departure_delay"),
+            ),
+        )
+
+    updates = F.flatten(F.transform(F.filter(wanted, has_updates), rows))
+    known = F.filter(updates, lambda row: row["arrival_delay"].isNotNull() | row["departure_delay"].isNotNull())
+    first = first_in_array(known, lambda row: F.struct(row["vehicle_id"], row["trip_id"], row["stop_id"]))
+    return feed.select("source_file", from_epoch("header.timestamp").alias("event_time"), F.inline(first))
+
+
+def first_raw_alerts(feed: DataFrame, routes: Sequence[str] | None = fv.DEFAULT_ROUTES) -> DataFrame:
+    """The first alert of each id that names a wanted route, one snapshot at a time (compare ``first_raw_delays``)."""
+    wanted = F.arrays_zip(F.col("entity.id").alias("id"), F.col("entity.alert").alias("alert"))
+
+    def on_routes(entity: Column) -> Column:
+        named = entity["alert"]["informed_entity"]["route_id"]
+        return F.exists(named, lambda route: F.lit(True) if routes is None else route.isin(*routes))
+
+    kept = F.filter(wanted, lambda entity: entity["alert"].isNotNull() & on_routes(entity))
+    first = first_in_array(kept, lambda entity: F.struct(F.coalesce(entity["id"], F.lit("")).alias("id")))
+    return load_raw_alerts(feed.select("source_file", "header", first.alias("entity")), routes).drop("feed_seq")
+
+
 def load_raw_positions(feed: DataFrame, routes: Sequence[str] | None = fv.DEFAULT_ROUTES) -> DataFrame:
     """One row per vehicle on the wanted routes."""
     vehicles = _entities(feed, "vehicle")

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from . import versions
+from .storage import WriteValidationError, remove_folder, validate_count
 from .tables import DATE_COLUMN, run_path
 
 
-class WriteValidationError(RuntimeError):
-    """The files hold another number of rows than the job wrote."""
-
-
 def new_run_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
 
@@ -49,26 +47,10 @@ def save_processed(
     return folder
 
 
-def validate_count(
-    spark: SparkSession, path: str, expected: int, written: DataFrame, where: Column | None = None
-) -> None:
-    """Recount from the files (no column is read, only row counts); ``where`` names the folders written."""
-    rows = spark.read.schema(written.schema).parquet(path)
-    found = (rows if where is None else rows.filter(where)).count()
-    if found != expected:
-        raise WriteValidationError(f"{path}: wrote {expected} rows but the files hold {found}")
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder this library has just written, on whatever file system holds it."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-
-
 def save_features(df: DataFrame, path: str) -> str:
-    """Replace the feature table."""
-    df.write.mode("overwrite").parquet(path)
-    return path
+    """Replace the feature table in one step (``versions.read`` finds the newest); returns the folder of this state."""
+    versions.replace(df, path)
+    return versions.location(df.sparkSession, path)
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
@@ -78,12 +60,24 @@ def materialize_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def materialize_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """A stored table, replaced as a whole; ``path`` keeps the files outside the warehouse folder."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    """A stored table, replaced as a whole; ``path`` keeps the files outside the warehouse folder.
+
+    The new state is written beside the old one and the catalog entry is pointed at it, so a query of the name
+    reads either. A table of other columns is registered anew.
+    """
+    spark = df.sparkSession
+    root = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}_versions"
+    versions.replace(df, root)
+    folder = versions.location(spark, root).replace("'", "\\'")
+    columns = [(field.name, field.dataType) for field in df.schema.fields]
+    if spark.catalog.tableExists(name):
+        if [(field.name, field.dataType) for field in spark.table(name).schema.fields] == columns:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(name)
+            return spark.table(name)
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=versions.location(spark, root), source="parquet", schema=df.schema)
+    return spark.table(name)
 
 
 def land_snapshots(snapshots: DataFrame, root: str, polled_at: str | None = None, fmt: str = "parquet") -> str:
@@ -91,3 +85,16 @@ def land_snapshots(snapshots: DataFrame, root: str, polled_at: str | None = None
     path = f"{root.rstrip('/')}/poll_{polled_at or new_run_id()}"
     snapshots.write.mode("errorifexists").format(fmt).save(path)
     return path
+
+
+__all__ = [
+    "WriteValidationError",
+    "land_snapshots",
+    "materialize_table",
+    "materialize_view",
+    "new_run_id",
+    "remove_folder",
+    "save_features",
+    "save_processed",
+    "validate_count",
+]

@@ -12,12 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from . import versions
 from .scan import load_or_empty
 
 # Layout columns the writers add; readers prune on them and leave them out of the contract.
 RUN_COLUMN = "run_id"
 DATE_COLUMN = "event_date"
 NO_DATE = date(1970, 1, 1)
+# Below a processed table: the part that a stream replaces in place (see ``versions``). Spark's readers pass it over.
+STREAM_FOLDER = "_stream"
 
 # Logical table names, their folders below a processed root, and their contracts.
 TABLES = {
@@ -36,13 +39,19 @@ def read_processed(
     until: date | str | None = None,
     dates: Iterable[date] | None = None,
 ) -> DataFrame:
-    """Every run below ``path``; a table that was never written reads as empty.
+    """Every run below ``path`` and what a stream keeps there; a table that was never written reads as empty.
 
     ``since`` and ``until`` (inclusive), or a set of ``dates``, prune whole date folders before any file is
     opened; NO_DATE stands for rows without a time.
     """
     layout = f"{schema.rstrip()}, {RUN_COLUMN} string, {DATE_COLUMN} date"
     table = load_or_empty(spark, lambda: spark.read.schema(layout).parquet(path), layout)
+    kept = f"{path.rstrip('/')}/{STREAM_FOLDER}"
+    if parts := versions.part_names(spark, kept):
+        if dates is not None:
+            parts = {name for name in parts if part_date(name) in set(dates)}
+        streamed = versions.read(spark, kept, parts=parts).withColumn(RUN_COLUMN, F.lit(STREAM_FOLDER))
+        table = table.unionByName(streamed.select(*table.columns))
     if since is not None:
         table = table.filter(F.col(DATE_COLUMN) >= F.lit(since).cast("date"))
     if until is not None:
@@ -53,6 +62,11 @@ def read_processed(
     return table.drop(RUN_COLUMN, DATE_COLUMN)
 
 
+def part_date(name: str) -> date:
+    """The date in the name of a stored part."""
+    return date.fromisoformat(name.split("/")[0].removeprefix(f"{DATE_COLUMN}="))
+
+
 def run_path(path: str, run_id: str) -> str:
     return f"{path.rstrip('/')}/{RUN_COLUMN}={run_id}"
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.times import file_instant
+from ..functions.times import file_instant, parse_local
+from ..operators.dedup import first_in_array
 from .scan import load_or_empty
 
 # Response field to table column.
@@ -88,3 +89,22 @@ def current_rows(responses: DataFrame) -> DataFrame:
 
 def load_raw_weather(responses: DataFrame) -> DataFrame:
     return hourly_rows(responses).unionByName(current_rows(responses))
+
+
+def first_raw_weather(responses: DataFrame) -> DataFrame:
+    """``load_raw_weather`` with the first row of each hour of a response only, without a shuffle.
+
+    Hours are one where they are the same time, however it is written; the first keeps its place. What
+    deduplication by hour and file gives where each file is one response.
+    """
+    arrays = [F.col("hourly.time").alias("time")] + [F.col(f"hourly.{field}").alias(field) for field in MEASURES]
+    hours = F.slice(F.arrays_zip(*arrays), 1, F.greatest(F.size("hourly.time"), F.lit(0)))
+    first = first_in_array(hours, lambda hour: F.struct(parse_local(hour["time"]).alias("time")))
+    once = responses.filter(F.col("hourly").isNotNull()).select("source_file", "event_time", F.inline(first))
+    hourly = once.select(
+        *[F.col(field).alias(name) for field, name in MEASURES.items()],
+        F.col("time").alias("weather_timestamp"),
+        "source_file",
+        "event_time",
+    )
+    return hourly.unionByName(current_rows(responses).drop("feed_seq"))

@@ -18,7 +18,7 @@ from ..operators import aggregates
 from ..operators.filters import unnest_routes
 from ..operators.joins import join_stops, join_weather
 from ..plans.processing import clean_alerts, clean_delays
-from ..sources import sinks
+from ..sources import sinks, versions
 from ..sources.scan import load_or_empty
 from ..sources.tables import DATE_COLUMN, NO_DATE, read_processed, run_path
 from .sinks import BatchWriter, batch_run
@@ -42,15 +42,20 @@ def run_dates(spark: SparkSession, path: str, run_id: str) -> set[date]:
     return dates_of(load_or_empty(spark, lambda: spark.read.schema(layout).parquet(run_path(path, run_id)), layout))
 
 
-def replace_dates(table: DataFrame, path: str) -> None:
-    """Replace the date folders that the rows of a window table have, and no others."""
+def date_parts(dates: Iterable[date]) -> list[str]:
+    return [versions.part(**{DATE_COLUMN: day.isoformat()}) for day in dates]
+
+
+def replace_dates(table: DataFrame, path: str, dates: set[date]) -> None:
+    """Replace those dates of a window table in one step; a date without rows is left empty."""
     dated = table.withColumn(DATE_COLUMN, window_date()).hint("rebalance", DATE_COLUMN)
-    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(DATE_COLUMN).parquet(path)
+    versions.replace(dated, path, [DATE_COLUMN], date_parts(dates))
 
 
-def read_windows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(DATE_COLUMN)
+def read_windows(spark: SparkSession, path: str, dates: set[date] | None = None, schema: str | None = None) -> DataFrame:
+    """A window table, or some dates of it; ``schema`` is that of a table not yet written."""
+    layout = None if schema is None else f"{schema.rstrip()}, {DATE_COLUMN} date"
+    return versions.read(spark, path, layout, None if dates is None else date_parts(dates)).drop(DATE_COLUMN)
 
 
 def window_batches(path: str, schema: str, clean: Clean, build: Clean, table: str) -> BatchWriter:
@@ -61,7 +66,7 @@ def window_batches(path: str, schema: str, clean: Clean, build: Clean, table: st
         sinks.save_processed(clean(batch), path, run)
         touched = run_dates(spark, path, run)
         if touched:
-            replace_dates(build(read_processed(spark, path, schema, dates=touched)), table)
+            replace_dates(build(read_processed(spark, path, schema, dates=touched)), table, touched)
 
     return write
 
