@@ -7,7 +7,7 @@ its reducer as one row per map task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,6 +63,23 @@ def keep_first(
     return top1(df, keys, ordered_by(df, *lead, *ties), keep_hash)
 
 
+def first_in_array(rows: Column, key: Callable[[Column], Column]) -> Column:
+    """Of an array of structs the first of each key (nulls are a key too), without a shuffle.
+
+    The elements are sorted by key and place, so each is compared with the one before it only.
+    """
+
+    def first(ordered: Column) -> Column:
+        def new(row: Column, i: Column) -> Column:
+            return (i == 0) | ~row["key"].eqNullSafe(F.get(ordered, i - 1)["key"])
+
+        return F.transform(F.filter(ordered, new), lambda row: row["row"])
+
+    numbered = F.transform(rows, lambda row, i: F.struct(key(row).alias("key"), i.alias("place"), row.alias("row")))
+    # An array of one element binds the sorted array, so that it is sorted once and not for each element.
+    return F.get(F.transform(F.array(F.array_sort(numbered)), first), F.lit(0))
+
+
 # Ties below are between rows that state the same key at the same time. They are broken by the
 # file and by the few columns a reader can tell such rows apart by. Longer columns stay out of
 # the order, so that a query which does not show them does not read them either.

@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fv
 from ..functions import classify, text, times
 from ..functions.numbers import null_to_zero
 from ..operators.dedup import ALERT_KEY, DELAY_KEY, WEATHER_KEY, keep_first
 from ..operators.filters import any_present
 from ..operators.headway import with_headway
+from ..sources import feeds
+from ..sources.weather import first_raw_weather
 
 
 def clean_delays(raw: DataFrame) -> DataFrame:
     known = any_present(raw, ["arrival_delay", "departure_delay"])
-    return keep_first(known, DELAY_KEY).select(
+    return _delays(keep_first(known, DELAY_KEY))
+
+
+def snapshot_delays(feed: DataFrame, routes: Sequence[str] | None = fv.DEFAULT_ROUTES) -> DataFrame:
+    """``clean_delays`` straight from snapshots of one row per file, without a shuffle; works on streams."""
+    return _delays(feeds.first_raw_delays(feed, routes))
+
+
+def _delays(first: DataFrame) -> DataFrame:
+    return first.select(
         "vehicle_id",
         "trip_id",
         "route_id",
@@ -29,7 +43,16 @@ def clean_delays(raw: DataFrame) -> DataFrame:
 
 
 def clean_alerts(raw: DataFrame) -> DataFrame:
-    return keep_first(raw, ALERT_KEY).select(
+    return _alerts(keep_first(raw, ALERT_KEY))
+
+
+def snapshot_alerts(feed: DataFrame, routes: Sequence[str] | None = fv.DEFAULT_ROUTES) -> DataFrame:
+    """``clean_alerts`` straight from snapshots of one row per file, without a shuffle; works on streams."""
+    return _alerts(feeds.first_raw_alerts(feed, routes))
+
+
+def _alerts(first: DataFrame) -> DataFrame:
+    return first.select(
         "alert_id",
         "route_ids",
         "header",
@@ -70,7 +93,17 @@ def clean_weather(raw: DataFrame, source_tz: str | None = None) -> DataFrame:
     with a zone the hours become true UTC.
     """
     parsed = raw.withColumn("weather_timestamp", times.parse_local("weather_timestamp"))
-    return keep_first(parsed, WEATHER_KEY).select(
+    return _weather(keep_first(parsed, WEATHER_KEY), source_tz)
+
+
+def snapshot_weather(responses: DataFrame, source_tz: str | None = None) -> DataFrame:
+    """``clean_weather`` straight from responses of one row per file, without a shuffle; works on streams."""
+    raw = first_raw_weather(responses)
+    return _weather(raw.withColumn("weather_timestamp", times.parse_local("weather_timestamp")), source_tz)
+
+
+def _weather(first: DataFrame, source_tz: str | None) -> DataFrame:
+    return first.select(
         "temperature_c",
         "humidity_pct",
         "precip_mm",

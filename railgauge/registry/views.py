@@ -268,6 +268,11 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots of ``feed`` with each entity once more at the end."""
+    return feed(spark, sf_dir).withColumn("entity", F.concat("entity", "entity"))
+
+
 def weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses of 24 consecutive events as parallel arrays; every tenth states only its last one."""
     fields = {
