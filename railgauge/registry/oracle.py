@@ -768,3 +768,35 @@ SQL["stream_landing_root"] = f"""
     SELECT route_id, window_start, avg(arrival_delay) AS avg_delay_sec, max(arrival_delay) AS max_delay_sec,
            count(*) AS delay_records
     FROM ({SQL["stream_processed_delays"]}) GROUP BY ALL"""
+
+SQL["snapshot_delays"] = SQL["stream_processed_delays"]
+SQL["snapshot_alerts"] = using(
+    "snapshot_events",
+    query=f"""
+    WITH shown AS (
+        SELECT 'A' || user_id AS alert_id, list_sort(list_distinct([event_type, list_extract({ROUTE_IDS}, -1)])) AS route_ids,
+               CASE WHEN event_id % 9 = 0 THEN '' ELSE 'H' || (user_id % 12) END AS header, '' AS description,
+               CAST(user_id % 13 AS INTEGER) AS effect, {START_EPOCH} AS start_time, {END_EPOCH} AS end_time,
+               's' || snapshot AS source_file, polled AS event_time, event_id AS place
+        FROM snapshot_events
+    )
+    SELECT * EXCLUDE (place) REPLACE ({LISTED_ROUTES}, {plain_time('start_time')} AS start_time, {plain_time('end_time')} AS end_time),
+           {label('effect')} AS severity, description AS description_short, {quarter('event_time')} AS window_start
+    FROM ({first_row('shown', 'alert_id, source_file', 'place')})""",
+)
+SQL["snapshot_weather"] = f"""
+    WITH hours AS (
+        SELECT {MEASURES}, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS weather_timestamp, 'w' || (event_id // 24) AS source_file,
+               CAST(date_trunc('second', min(ts) OVER (PARTITION BY event_id // 24)) AS TIMESTAMP) AS event_time,
+               event_id // 24 % 10 = 0 AS only_current, event_id = max(event_id) OVER (PARTITION BY event_id // 24) AS is_last,
+               event_id AS place
+        FROM events
+    ),
+    shown AS (SELECT * EXCLUDE (only_current, is_last) FROM hours WHERE is_last OR NOT only_current)
+    SELECT * EXCLUDE (place), {quarter('event_time')} AS window_start,
+           CAST(date_trunc('hour', weather_timestamp) AS TIMESTAMP) AS obs_hour, {FLAGS}
+    FROM ({first_row('shown', 'weather_timestamp, source_file', 'place')})"""
+SQL["stream_event_time_windows"] = SQL["stream_landing_root"]
+SQL["incremental_fact"] = SQL["fct_performance"]
+SQL["incremental_weather"] = SQL["dim_weather_conditions"]
+SQL["incremental_alerts"] = SQL["stg_alerts"]

@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 from ..functions import classify, numbers, text, times
 from ..operators import aggregates, dedup, filters, headway, joins, quality
 from .. import schemas
-from ..plans import marts, processing, refresh, reports, staging
+from ..plans import increments, latest, marts, processing, refresh, reports, staging
 from ..session import pin_utc, scratch_dir
 from ..sources import feeds, sinks, tables, weather as weather_source
+from ..streaming import event_time, live_weather
 from ..streaming import headway as stream_headway_tables
 from ..streaming import processing as stream_processing
 from ..streaming import sinks as stream_sinks
@@ -655,6 +656,22 @@ def processed_weather_local(spark, sf_dir):
     return processing.clean_weather(views.raw_weather(spark, sf_dir), "America/New_York")
 
 
+@query
+def snapshot_delays(spark, sf_dir):
+    """First reports taken inside each snapshot, before it becomes rows; each entity is there twice."""
+    return processing.snapshot_delays(views.feed_twice(spark, sf_dir), ROUTES)
+
+
+@query
+def snapshot_alerts(spark, sf_dir):
+    return processing.snapshot_alerts(views.feed_twice(spark, sf_dir), ROUTES)
+
+
+@query
+def snapshot_weather(spark, sf_dir):
+    return processing.snapshot_weather(views.weather_responses(spark, sf_dir))
+
+
 def once(df: DataFrame) -> DataFrame:
     """The rows of a single run."""
     return df
@@ -900,9 +917,19 @@ def stream_alert_counts(spark, sf_dir):
 
 @query
 def stream_weather_windows(spark, sf_dir):
-    """Hourly weather onto the streamed delay windows."""
-    weather = dedup.latest_weather_snapshot(views.weather(spark, sf_dir)).select("obs_hour", "temperature_c")
-    return stream_windows.weather_onto_windows(_stream_delay_windows(spark, sf_dir), weather)
+    """Delays and weather as two streams; each round's weather comes after its windows, and both out of time order."""
+    root = scratch_dir(spark, "stream")
+    write_delays, write_weather = live_weather.live_weather(root, f"{root}/joined")
+    inputs = {
+        "delays": (views.twice(views.raw_delays(spark, sf_dir)), schemas.RAW_DELAYS, write_delays),
+        "weather": (views.raw_weather(spark, sf_dir), schemas.RAW_WEATHER, write_weather),
+    }
+    for number in SLICES:
+        for name, (rows, schema, writer) in inputs.items():
+            _slice(rows, number).write.parquet(f"{root}/landing/{name}/poll_{number}")
+            stream = _landed_stream(spark, f"{root}/landing/{name}", schema)
+            stream_sinks.drain(stream, writer, f"{root}/checkpoints/{name}", "append")
+    return stream_windows.read_windows(spark, f"{root}/joined")
 
 
 @query
@@ -967,37 +994,56 @@ RAW = {
 
 @query
 def stream_features(spark, sf_dir):
-    """Four streams in two rounds; after each round the features of the touched dates are computed again."""
+    """Four streams in two rounds; each batch brings the features of the dates it touches up to date."""
     root = scratch_dir(spark, "stream")
     for number in (1, 0):
         streams = {}
         for name, (view, schema) in RAW.items():
             _slice(view(spark, sf_dir), number, 2).write.parquet(f"{root}/landing/{name}/poll_{number}")
             streams[name] = _landed_stream(spark, f"{root}/landing/{name}", schema)
-        processed, log = f"{root}/processed", f"{root}/changes"
-        for running in stream_processing.process_streams(spark, streams, processed, f"{root}/state", changes=log):
-            running.awaitTermination()
-        refresh.refresh(spark, processed, log, f"{root}/features")
+        running = stream_processing.process_streams(
+            spark, streams, f"{root}/processed", f"{root}/state", changes=f"{root}/changes", features=f"{root}/features"
+        )
+        for stream in running:
+            stream.awaitTermination()
     return stream_windows.read_windows(spark, f"{root}/features")
 
 
+@query
+def stream_event_time_windows(spark, sf_dir):
+    """Windows from state and a watermark over snapshots in four rounds out of order, so most rows are late."""
+    root = scratch_dir(spark, "stream")
+    writer = event_time.event_time_upserts(f"{root}/delays", f"{root}/windows", f"{root}/notes", "2 hours")
+    feed = views.feed(spark, sf_dir)
+    for number in SLICES:
+        sinks.land_snapshots(_slice(feed, number), f"{root}/landing", str(number))
+        reports = processing.snapshot_delays(feeds.stream_feed(spark, f"{root}/landing"), ROUTES)
+        stream_sinks.drain(event_time.windows_and_rows(reports, "2 hours"), writer, f"{root}/checkpoint", "update")
+    return stream_windows.read_windows(spark, f"{root}/windows")
+
+
+def _runs_of(spark, sf_dir, root, names, note, runs=3):
+    """Runs of other source files, each noted after it is saved."""
+    built = {"delays": views.delays, "alerts": views.alerts, "vehicle_positions": views.positions, "weather": views.weather}
+    layout = {"vehicle_positions": tables.vehicle_date(F.col("mta_timestamp"))}
+    for run in range(runs):
+        for name in names:
+            rows = _slice(built[name](spark, sf_dir), run, runs)
+            path = tables.processed_paths(f"{root}/processed")[name]
+            folder = sinks.save_processed(rows, path, f"run_{run}", layout.get(name, "event_time"))
+            note(name, f"run_{run}", spark.read.schema(rows.schema).parquet(folder))
+        yield run
+
+
 def _in_increments(spark, sf_dir):
     """Three batch runs of other source files; after each one only the touched dates are computed again."""
     root = scratch_dir(spark, "increments")
     processed, log = f"{root}/processed", f"{root}/changes"
-    built = {
-        "delays": views.delays(spark, sf_dir),
-        "alerts": views.alerts(spark, sf_dir),
-        "vehicle_positions": views.positions(spark, sf_dir),
-        "weather": views.weather(spark, sf_dir),
-    }
-    layout = {"vehicle_positions": tables.vehicle_date(F.col("mta_timestamp"))}
-    for run in range(3):
-        for name, path in tables.processed_paths(processed).items():
-            rows = _slice(built[name], run, 3)
-            folder = sinks.save_processed(rows, path, f"run_{run}", layout.get(name, "event_time"))
-            stored = spark.read.schema(rows.schema).parquet(folder)
-            refresh.log_changes(spark, log, name, f"run_{run}", refresh.changed_dates(spark, processed, name, stored))
+
+    def note(name, run, rows):
+        refresh.log_changes(spark, log, name, run, refresh.changed_dates(spark, log, name, run, rows))
+
+    for _ in _runs_of(spark, sf_dir, root, tables.TABLES, note):
         refresh.refresh(spark, processed, log, f"{root}/features")
     return stream_windows.read_windows(spark, f"{root}/features")
 
@@ -1005,3 +1051,34 @@ def _in_increments(spark, sf_dir):
 @query
 def incremental_features(spark, sf_dir):
     return _in_increments(spark, sf_dir)
+
+
+def _incremental_marts(spark, sf_dir, names):
+    """Three runs, the marts refreshed after each; the stops are the given ones."""
+    root = scratch_dir(spark, "marts")
+
+    def note(name, run, rows):
+        increments.note_run(spark, f"{root}/state", name, run, rows)
+
+    for _ in _runs_of(spark, sf_dir, root, names, note):
+        increments.refresh_marts(spark, f"{root}/processed", f"{root}/state", f"{root}/marts", views.stops(spark, sf_dir), ROUTES)
+    return root
+
+
+@query
+def incremental_fact(spark, sf_dir):
+    root = _incremental_marts(spark, sf_dir, tables.TABLES)
+    return increments.read_fact(spark, f"{root}/marts").drop("dbt_updated_at")
+
+
+@query
+def incremental_weather(spark, sf_dir):
+    root = _incremental_marts(spark, sf_dir, ["weather"])
+    return increments.read_dimension(spark, f"{root}/marts")
+
+
+@query
+def incremental_alerts(spark, sf_dir):
+    """The newest row per alert and route, merged from three runs of which each is older in part than the one before."""
+    root = _incremental_marts(spark, sf_dir, ["alerts"])
+    return latest.latest_alerts(spark, f"{root}/state/alerts").drop("source_file", "event_time")

@@ -1,85 +1,149 @@
 """Headway gaps over arriving positions.
 
-A late report changes two gaps: its own and the next one's, which may lie on the next day. So
-each micro-batch is stored, and the dates it touches plus the days after them are computed again
-from the stored rows of those dates and the days before. Only whole date folders are read and
-replaced, which makes the table equal to the batch result for any lateness, and a replayed batch
-harmless.
+A late report changes two gaps: its own and the next one's, and only a gap up to the cap counts. So each
+micro-batch is stored, and the hours it touches, with those that the cap reaches after them, are computed
+again from the stored rows of these hours and those that the cap reaches before them. That
+makes the table equal to the batch result for any lateness, and a replayed batch harmless. The hours are replaced
+in one step, so a reader sees the table before the batch or after it.
+
+Rows without a time lie apart, in parts by a hash of their stop: a batch that has some computes the parts of
+its own stops again and no others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import date, timedelta
+from collections.abc import Callable, Iterable
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fv
 from .. import schemas
 from ..functions.times import from_epoch
 from ..plans.processing import clean_positions
+from ..sources import versions
 from ..sources.scan import load_or_empty
-from ..sources.sinks import validate_count
-from ..sources.tables import DATE_COLUMN, read_processed, run_path, vehicle_date
+from ..sources.storage import validate_count
+from ..sources.tables import DATE_COLUMN, NO_DATE, STREAM_FOLDER, read_processed, vehicle_date
 from .sinks import BATCH_COLUMN, BatchWriter
 
-ONE_DAY = timedelta(days=1)
-STREAM_RUN = "stream"
+HOUR_COLUMN = "event_hour"
+LAYOUT = (DATE_COLUMN, HOUR_COLUMN)
+#: Parts of the rows without a time.
+BUCKETS = 64
+#: Hours that the cap reaches over.
+HALO = -(-fv.GAP_CAP_SECONDS // 3600)
+#: A date and an hour of it; without a time NO_DATE and a bucket.
+Slot = tuple[date, int]
 
 
 def headway_tables(
     landing: str, table: str, noted: Callable[[DataFrame, int], None] | None = None
 ) -> BatchWriter:
-    """A batch writer that keeps the run ``stream`` of ``table`` (positions with gaps, by date of the vehicle time).
+    """A batch writer that keeps the streamed part of ``table`` (positions with gaps, by hour of the vehicle time).
 
-    Stored rows lie under their date, then their batch: a batch only lists the dates it needs,
+    Stored rows lie under their date, then their batch, in order of time: a batch only opens the dates it needs,
     and a replayed batch replaces exactly its own folders. ``noted`` is told the rows that were replaced.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.withColumns(
-            {DATE_COLUMN: vehicle_date(from_epoch("mta_timestamp")), BATCH_COLUMN: F.lit(batch_id).cast("bigint")}
-        )
-        _replace_partitions(stored, landing, DATE_COLUMN, BATCH_COLUMN)
-        touched = _dates_of_batch(batch.sparkSession, landing, batch_id)
+        spark = batch.sparkSession
+        touched = _store(batch, landing, batch_id)
         if touched:
-            replaced = _recompute(batch.sparkSession, landing, table, touched)
+            replaced = _recompute(spark, landing, f"{table.rstrip('/')}/{STREAM_FOLDER}", touched)
             if noted is not None:
-                noted(read_processed(batch.sparkSession, table, schemas.POSITIONS, dates=replaced), batch_id)
+                noted(versions.read(spark, f"{table.rstrip('/')}/{STREAM_FOLDER}", parts=_parts(replaced)).drop(*LAYOUT), batch_id)
 
     return write
 
 
-def _replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*columns).parquet(path)
+def _hour(time: Column) -> Column:
+    bucket = F.pmod(F.xxhash64("stop_id"), F.lit(BUCKETS)).cast("int")
+    return F.when(vehicle_date(time) == F.lit(NO_DATE), bucket).otherwise(F.hour(time))
 
 
-def _stored(spark: SparkSession, landing: str, pattern: str) -> DataFrame:
+def _store(batch: DataFrame, landing: str, batch_id: int) -> set[Slot]:
+    """Write the batch's own folders and check their rows; returns the slots it touches, told by the write itself."""
+    time = from_epoch("mta_timestamp")
+    stored = batch.withColumns({DATE_COLUMN: vehicle_date(time), BATCH_COLUMN: F.lit(batch_id).cast("bigint")})
+    seen = Observation()
+    slots = F.array_join(F.collect_set(F.concat_ws("/", vehicle_date(time), _hour(time))), ",")
+    observed = stored.observe(seen, F.count(F.lit(1)).alias("rows"), slots.alias("slots"))
+    ordered = observed.sortWithinPartitions(DATE_COLUMN, BATCH_COLUMN, "mta_timestamp")
+    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(DATE_COLUMN, BATCH_COLUMN).parquet(landing)
+    touched = {(date.fromisoformat(day), int(hour)) for day, hour in (x.split("/") for x in (seen.get["slots"] or "").split(",") if x)}
+    if touched:
+        own = _stored_path(landing, {day for day, _ in touched}, f"{BATCH_COLUMN}={batch_id}")
+        validate_count(batch.sparkSession, own, seen.get["rows"], batch)
+    return touched
+
+
+def _stored_path(landing: str, dates: Iterable[date], below: str = "*") -> str:
+    listed = ",".join(sorted(day.isoformat() for day in set(dates)))
+    return f"{landing}/{DATE_COLUMN}={{{listed}}}/{below}"
+
+
+def _moved(slot: Slot, hours: int) -> set[Slot]:
+    """The slots some hours later or earlier; rows without a time count as the whole first day."""
+    day, hour = slot
+    start = datetime(day.year, day.month, day.day)
+    if day == NO_DATE:
+        start += timedelta(days=1, hours=-1) if hours > 0 else timedelta(0)
+    else:
+        start += timedelta(hours=hour)
+    moved = start + timedelta(hours=hours)
+    return {(NO_DATE, b) for b in range(BUCKETS)} if moved.date() == NO_DATE else {(moved.date(), moved.hour)}
+
+
+def reached(slots: Iterable[Slot], hours: int) -> set[Slot]:
+    """The slots and those up to ``hours`` later (earlier where negative)."""
+    step = 1 if hours > 0 else -1
+    return set(slots).union(*(_moved(slot, k) for slot in slots for k in range(step, hours + step, step)))
+
+
+def rows_of_slots(spark: SparkSession, landing: str, slots: set[Slot]) -> DataFrame:
+    """The stored rows of some slots. Dates are folders; hours are ranges of time that reach the scan."""
     layout = f"{schemas.RAW_POSITIONS.rstrip()}, {DATE_COLUMN} date, {BATCH_COLUMN} bigint"
     reader = spark.read.schema(layout).option("basePath", landing)
-    return load_or_empty(spark, lambda: reader.parquet(f"{landing}/{pattern}"), layout)
-
-
-def _dates_of_batch(spark: SparkSession, landing: str, batch_id: int) -> set[date]:
-    """A handful of folder names, whatever the number of rows."""
-    own = _stored(spark, landing, f"{DATE_COLUMN}=*/{BATCH_COLUMN}={batch_id}")
-    return {row[0] for row in own.select(DATE_COLUMN).distinct().collect()}
-
-
-def _recompute(spark: SparkSession, landing: str, table: str, touched: set[date]) -> set[date]:
-    """Replace the touched dates and the days after them; returns those dates."""
-    replaced = touched | {day + ONE_DAY for day in touched}
-    needed = replaced | {day - ONE_DAY for day in replaced}
-    listed = ",".join(sorted(day.isoformat() for day in needed))
-    rows = _stored(spark, landing, f"{DATE_COLUMN}={{{listed}}}").drop(DATE_COLUMN, BATCH_COLUMN)
-    gaps = clean_positions(rows).withColumn(DATE_COLUMN, vehicle_date(F.col("mta_timestamp")))
-    kept = gaps.filter(F.col(DATE_COLUMN).isin(*replaced)).hint("rebalance", DATE_COLUMN)
-    counted = Observation()
-    path = run_path(table, STREAM_RUN)
-    _replace_partitions(kept.observe(counted, F.count(F.lit(1)).alias("rows")), path, DATE_COLUMN)
-    written = F.col(DATE_COLUMN).isin(*replaced)
-    validate_count(spark, path, counted.get["rows"], kept, written)
+    rows = load_or_empty(spark, lambda: reader.parquet(_stored_path(landing, {day for day, _ in slots})), layout)
+    time, wanted = F.col("mta_timestamp"), F.lit(False)
+    hours = sorted(datetime(d.year, d.month, d.day, h) for d, h in slots if d != NO_DATE)
+    spans: list[list[datetime]] = []
+    for hour in hours:
+        if spans and spans[-1][1] == hour:
+            spans[-1][1] += timedelta(hours=1)
+        else:
+            spans.append([hour, hour + timedelta(hours=1)])
+    epoch = datetime(1970, 1, 1)
+    for low, high in spans:
+        first, last = (int((t - epoch).total_seconds()) for t in (low, high))
+        wanted = wanted | ((time >= first) & (time < last))
+    buckets = [hour for day, hour in slots if day == NO_DATE]
+    if buckets:
+        untimed = F.col(DATE_COLUMN) == F.lit(NO_DATE)
+        wanted = wanted | (untimed & F.pmod(F.xxhash64("stop_id"), F.lit(BUCKETS)).isin(*buckets))
+    return rows.filter(wanted).drop(DATE_COLUMN, BATCH_COLUMN)
+
+
+def _parts(slots: Iterable[Slot]) -> list[str]:
+    return [versions.part(**dict(zip(LAYOUT, (day.isoformat(), hour), strict=True))) for day, hour in slots]
+
+
+def _recompute(spark: SparkSession, landing: str, table: str, touched: set[Slot]) -> set[Slot]:
+    """Replace the touched slots and those that the cap reaches after them; returns them."""
+    replaced = reached(touched, HALO)
+    gaps = clean_positions(rows_of_slots(spark, landing, reached(replaced, -HALO)))
+    time = F.col("mta_timestamp")
+    dated = gaps.withColumns({DATE_COLUMN: vehicle_date(time), HOUR_COLUMN: _hour(time)})
+    by_date: dict[date, list[int]] = {}
+    for day, hour in replaced:
+        by_date.setdefault(day, []).append(hour)
+    kept = F.lit(False)
+    for day, hours in sorted(by_date.items()):
+        kept = kept | ((F.col(DATE_COLUMN) == F.lit(day)) & F.col(HOUR_COLUMN).isin(*hours))
+    versions.replace(dated.filter(kept).hint("rebalance", *LAYOUT), table, LAYOUT, _parts(replaced))
     return replaced
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -60,17 +61,25 @@ def process_streams(
     source_tz: str | None = None,
     interval: str | None = None,
     changes: str | None = None,
+    features: str | None = None,
 ) -> list[StreamingQuery]:
     """Start one stream of raw rows per processed table below ``root``.
 
-    ``changes`` is a folder in which each batch notes the window dates it touches, for ``plans.refresh``.
+    ``changes`` is a folder in which each batch notes the window dates it touches, for ``plans.refresh``. With
+    ``features`` each batch of any of the streams also brings the stored features of those dates up to date, so
+    the joined windows follow all inputs without a call from outside. Batches take turns at that.
     """
+    turn = Lock()
     paths = processed_paths(root)
     cleaners = {"delays": clean_delays, "alerts": clean_alerts, "weather": partial(clean_weather, source_tz=source_tz)}
 
     def noted(name: str) -> Callable[[DataFrame, int], None] | None:
         def note(rows: DataFrame, batch_id: int) -> None:
-            refresh.log_changes(spark, changes, name, batch_run(batch_id), refresh.changed_dates(spark, root, name, rows))
+            run = batch_run(batch_id)
+            with turn:
+                refresh.log_changes(spark, changes, name, run, refresh.changed_dates(spark, changes, name, run, rows))
+                if features:
+                    refresh.refresh(spark, root, changes, features)
 
         return note if changes else None
 
@@ -92,6 +101,7 @@ def process_new(
     interval: str | None = None,
     max_files: int | None = None,
     changes: str | None = None,
+    features: str | None = None,
 ) -> list[StreamingQuery]:
     """Start one stream per processed table below ``root``.
 
@@ -106,4 +116,4 @@ def process_new(
         "vehicle_positions": feeds.load_raw_positions(feed(landing.vehicle_positions), routes),
         "weather": load_raw_weather(stream_weather(spark, landing.weather, fmt, max_files)),
     }
-    return process_streams(spark, raw, root, state, source_tz, interval, changes)
+    return process_streams(spark, raw, root, state, source_tz, interval, changes, features)
