@@ -16,9 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
-LONGEST = 24  # letters of a word in a host name
+#: Words up to this length are looked up by every stretch of a name, longer ones by their first letters.
+STEM = 24
 
 
 @dataclass(frozen=True)
@@ -55,15 +58,28 @@ def tokens(text: Column) -> Column:
 
 
 def split_name(name: str, words: dict[str, int], total: int) -> list[str]:
-    """The likeliest words of a name; an unknown stretch gets a tenth as likely with each letter."""
+    """The likeliest words of a name; an unknown stretch, of any length, gets a tenth as likely with each letter.
+
+    Joining two unknown stretches saves the cost of a word, so one is carried on letter by letter
+    (`loose`) and only known words are looked up: the work grows with the name and not with its square.
+    """
+    if not name:
+        return []
+    each, letter = math.log(total + 10), math.log(10.0)
+    lengths = sorted({len(w) for w in words}, reverse=True)
     best, cut_at = [0.0] + [-math.inf] * len(name), [0] * (len(name) + 1)
+    loose, opened = -math.inf, 0
     for end in range(1, len(name) + 1):
-        for begin in range(max(0, end - LONGEST), end):
-            count = words.get(name[begin:end])
-            score = math.log(count) if count else 1.0 - (end - begin) * math.log(10.0)
-            score += best[begin] - math.log(total + 10)
-            if score > best[end]:
-                best[end], cut_at[end] = score, begin
+        begin_here = best[end - 1] + 1.0 - each
+        if begin_here > loose:
+            loose, opened = begin_here, end - 1
+        loose -= letter
+        for size in lengths:
+            count = words.get(name[end - size : end]) if size <= end else None
+            if count and (score := best[end - size] + math.log(count) - each) > best[end]:
+                best[end], cut_at[end] = score, end - size
+        if loose > best[end]:
+            best[end], cut_at[end] = loose, opened
     out, end = [], len(name)
     while end:
         out.append(name[cut_at[end] : end])
@@ -89,15 +105,21 @@ def word_counts(pages: DataFrame) -> DataFrame:
 
 
 def segment_names(names: DataFrame, counts: DataFrame) -> DataFrame:
-    """name, words for distinct names."""
+    """name, words for distinct names.
+
+    A name meets the counted words that it holds: those of up to STEM letters by equality with a stretch of it, longer
+    ones by equality of their first STEM letters, and then whole. The pairs grow with the name's length.
+    """
     total = counts.agg(F.sum("count")).first()[0] or 0
     stretches = F.expr(
         "flatten(transform(sequence(1, length(name)), i -> "
-        f"transform(sequence(i, least(i + {LONGEST} - 1, length(name))), j -> substring(name, i, j - i + 1))))"
+        f"transform(sequence(i, least(i + {STEM} - 1, length(name))), j -> substring(name, i, j - i + 1))))"
     )
     parts = names.filter(F.length("name") > 1).select("name", F.explode(F.array_distinct(stretches)).alias("stretch"))
-    found = parts.join(counts.withColumnRenamed("word", "stretch"), "stretch")
-    known = found.groupBy("name").agg(F.collect_list(F.struct("stretch", "count")).alias("known"))
+    short = counts.filter(F.length("word") <= STEM).withColumn("stretch", F.col("word"))
+    stems = counts.filter(F.length("word") > STEM).withColumn("stretch", F.substring("word", 1, STEM))
+    found = parts.join(short.unionByName(stems), "stretch").filter(F.contains("name", "word"))
+    known = found.groupBy("name").agg(F.collect_list(F.struct(F.col("word").alias("stretch"), "count")).alias("known"))
     return names.join(known, "name", "left").mapInArrow(_segment(total), "name string, words array<string>")
 
 
@@ -114,11 +136,11 @@ def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     rule, ruled = F.lit(None).cast("string"), F.lit(None).cast("string")
     for r in sorted(rules, key=lambda r: len(r.name)):
         rule, ruled = F.when(r.fits(), r.name).otherwise(rule), F.when(r.fits(), r.verdict).otherwise(ruled)
-    rows = rows.withColumns({"rule": rule, "ruled": ruled})
+    rows = written(rows.withColumns({"rule": rule, "ruled": ruled}), "urls")
 
     hosts = rows.select("host").distinct()
     named = hosts.select("host", F.posexplode(tokens(F.col("host"))).alias("at", "name"))
-    words = segment_names(named.select("name").distinct(), word_counts(pages))
+    words = written(segment_names(named.select("name").distinct(), written(word_counts(pages), "word-counts")), "host-words")
     host_tokens = named.join(words, "name").select("host", F.explode("words").alias("token"))
     path_tokens = rows.select("path").distinct().select("path", F.explode(tokens(F.col("path"))).alias("token"))
 
@@ -128,7 +150,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     seen = host_tokens.join(by_host, "host").select("token", "block", "allow").unionByName(
         path_tokens.join(by_path, "path").select("token", "block", "allow")
     )
-    model = seen.groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow"))
+    model = written(seen.groupBy("token").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "url-tokens")
     n_block, n_allow, kinds = (x or 0 for x in model.agg(F.sum("block"), F.sum("allow"), F.count("*")).first())
     rows_block, rows_allow = decided.agg(block, allow).first()
     prior = math.log((rows_block + 1) / (rows_allow + 1))
