@@ -27,10 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import SuffixAutomaton
-from .common import cut
+from .common import cut, written
 from .words import WORD_BASE, Words, mix, powers, shingle_hashes, slices, words_of
 
-NO_ID = -(1 << 63)
 INVERSE = pow(WORD_BASE, -1, 1 << 64)
 #: A place: first word (31 bits), number of windows (6 bits), part of the text's hash (26 bits).
 KEY_BITS, COUNT_BITS = 26, 6
@@ -195,7 +194,7 @@ def _remove(span: int):
                     out["n_words"].append(len(words))
                     out["n_removed"].append(len(words) - left)
                     out["kept"].append(b" ".join(words if left == len(words) else compress(words, keep)).decode())
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), **out})
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "without": part.column("without"), **out})
 
     return run
 
@@ -212,13 +211,17 @@ def remove_repeats(docs: DataFrame, span: int = 35, anchor_words: int = 8, shard
     if not 0 < span - anchor_words + 1 < 63:
         raise ValueError("span must exceed anchor_words by 0 to 61 words")
     key = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND((1 << KEY_BITS) - 1).alias("text_key")
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text", key)
+    # A row without an id goes by the hash of its text, so that such rows do not meet; equal ones have equal places.
+    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))))
+    keyed = docs.select(own.alias("doc_id"), "text", key, F.col("doc_id").isNull().alias("without"))
     contexts = keyed.filter("text is not null").mapInArrow(
         _list_contexts(span, anchor_words), "anchor long, content long, doc_id long, place long"
     )
     anchors = contexts.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high")
     ).filter("n > 1")
+    # Written, so that the join below has plain shuffles on both sides, whose skewed keys Spark splits.
+    anchors = written(anchors, "anchors")
     repeated = cut(contexts.join(anchors.select("anchor", (F.col("low") == F.col("high")).alias("alike")), "anchor"))
     windows_of = f"cast(shiftright(place, {KEY_BITS}) & {(1 << COUNT_BITS) - 1} as int)"
     all_bits = F.expr(f"shiftleft(1L, {windows_of}) - 1")
@@ -246,8 +249,10 @@ def remove_repeats(docs: DataFrame, span: int = 35, anchor_words: int = 8, shard
     )
     bits = matched.unionByName(counted).filter("bits <> 0")
     spans = alike.unionByName(mixed.join(bits, ["anchor", "content"]).select("doc_id", "place", "bits"))
-    by_doc = spans.groupBy("doc_id").agg(F.collect_list("place").alias("places"), F.collect_list("bits").alias("bits"))
+    # A set: rows equal in id and text have the same places, once for all of them.
+    by_doc = spans.groupBy("doc_id").agg(F.collect_set(F.struct("place", "bits")).alias("spans"))
+    by_doc = by_doc.select("doc_id", F.col("spans.place").alias("places"), F.col("spans.bits").alias("bits"))
     cleaned = keyed.join(by_doc, "doc_id", "left").mapInArrow(
-        _remove(span), "doc_id long, n_words long, n_removed long, kept string"
+        _remove(span), "doc_id long, without boolean, n_words long, n_removed long, kept string"
     )
-    return cleaned.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
+    return cleaned.withColumn("doc_id", F.when(~F.col("without"), F.col("doc_id"))).drop("without")
