@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
 from .ordering import in_ranges, order_in_range
 
 #: Two hashes per paragraph, 62 bits of each: two bits share a sum, 32 places apart.
@@ -82,7 +81,7 @@ def edited_fingerprints(docs: DataFrame, paragraph_words: int = 8) -> DataFrame:
     Rows are dealt once, by ranges of doc_id. Each range also gets a copy of the next range's first row.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = in_ranges(texts.withColumn("tie", F.xxhash64("text")), "doc_id", "tie", 4 * shuffle_partitions(docs))
+    rows = in_ranges(texts.withColumn("tie", F.xxhash64("text")), "doc_id", "tie")
     following = order_in_range("doc_id", "tie")
     n_chars, quarter = F.length("text"), F.expr("cast(floor(length(text) / 4) as int)")
     ordered = rows.select(

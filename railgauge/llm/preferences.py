@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import written
 from .ordering import in_ranges, order_in_range
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -86,39 +86,44 @@ def _weight() -> Column:
     return F.aggregate(F.expr(ANSWERS), F.lit(0).cast("long"), lambda n, t: n + F.length(t["text"]))
 
 
-def _next(answered: DataFrame, ranges: int) -> DataFrame:
+def _next(answered: DataFrame) -> DataFrame:
     """conv_id and other (conv_id, answer) of the next row by conv_id, if its answer differs."""
-    rows = in_ranges(answered, "conv_id", "tie", ranges)
+    rows = in_ranges(answered, "conv_id", "tie")
     other = F.lead(F.struct("conv_id", "answer")).over(order_in_range("conv_id", "tie"))
     return rows.withColumn("other", other).filter("not copy and answer <> other.answer").select("conv_id", "other")
 
 
-def _next_different(answered: DataFrame, ranges: int) -> DataFrame:
+def _next_different(answered: DataFrame) -> DataFrame:
     """conv_id and other (conv_id, answer) of the next row by conv_id that has a different answer; the last row is followed by the first.
 
     Rows with equal answers that follow one another are a run; the row after its end is what all of them
-    look for. The end may lie in a later range, so the first end of each range is passed to the ranges before.
+    look for. The end may lie in a later range: of each range only the number of its first end is collected, and
+    the ends that other ranges look for are joined back.
     """
-    rows = in_ranges(answered, "conv_id", "tie", ranges)
+    rows = in_ranges(answered, "conv_id", "tie")
     after = F.lead(F.struct("conv_id", "answer")).over(order_in_range("conv_id", "tie"))
     rows = rows.withColumn("after", after).filter("not copy").select("conv_id", "range", F.expr("if(answer <> after.answer, after, null)").alias("after"))
-    firsts = rows.groupBy("range").agg(F.min(F.when(F.col("after").isNotNull(), F.struct("conv_id", "after"))).alias("first"))
-    # One row per range, as in in_ranges.
-    order = Window.orderBy("range")
-    later = F.first("first.after", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
-    any_one = F.first("first.after", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    carried = firsts.select("range", F.coalesce(later, any_one).alias("carried"))
+    rows = written(rows, "answers")
+    ends = rows.groupBy("range").agg(F.min(F.when(F.col("after").isNotNull(), F.col("conv_id"))).alias("end"))
+    found = sorted((row["range"], row["end"]) for row in ends.collect())  # a row per range
+    looked_for, later = [], next((end for _, end in found if end is not None), None)
+    for number, end in reversed(found):
+        looked_for.append((number, later))
+        later = later if end is None else end
+    wanted = rows.sparkSession.createDataFrame(looked_for, "range int, end long")
+    carried = F.broadcast(wanted).join(rows.select(F.col("conv_id").alias("end"), F.col("after").alias("carried")), "end")
     # From the last row back, so that the frame only grows.
     back = Window.partitionBy("range").orderBy(F.desc("conv_id")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = rows.withColumn("here", F.last("after", ignorenulls=True).over(back)).join(F.broadcast(carried), "range")
+    here = rows.withColumn("here", F.last("after", ignorenulls=True).over(back))
+    found = here.join(carried.select("range", "carried"), "range", "left")
     return found.select("conv_id", F.coalesce("here", "carried").alias("other")).filter("other is not null")
 
 
-def _swapped(alone: DataFrame, ranges: int, following: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+def _swapped(alone: DataFrame, following: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """chosen_id, rejected_id, chosen, rejected: against the same turns with a following conversation's last answer."""
     answered = alone.withColumn("answers", F.expr(ANSWERS)).filter("size(answers) > 0")
     answered = answered.select("conv_id", F.element_at("answers", -1).alias("answer"), F.lit(0).cast("long").alias("tie"))
-    paired = alone.join(following(answered, ranges), "conv_id")
+    paired = alone.join(following(answered), "conv_id")
     last = F.array_max(F.expr("filter(sequence(1, size(turns)), i -> turns[i - 1].role = 'assistant')"))
     return paired.select(
         F.col("conv_id").alias("chosen_id"),
@@ -167,7 +172,7 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
     placed = kept.join(groups, "request")
     several = placed.filter("n > 1 and conv_id <> chosen_id").select("chosen_id", F.col("conv_id").alias("rejected_id"))
     alone = whole.join(placed.filter("n = 1").select("conv_id"), "conv_id")
-    return _formatted(whole, several, _swapped(alone, 4 * shuffle_partitions(turns), _next))
+    return _formatted(whole, several, _swapped(alone, _next))
 
 
 def _prefixes(conversations: DataFrame) -> DataFrame:
@@ -210,14 +215,15 @@ def request_pairs(turns: DataFrame) -> DataFrame:
     the last is followed by the first). Only where all have one and the same answer there is none.
     """
     whole = conversations_of(turns.withColumn("conv_id", F.col("conv_id").cast("long")))
-    sized = whole.select("conv_id", F.sha2(F.to_json(F.col("turns")), 256).alias("digest"))
-    kept = whole.join(sized.groupBy("digest").agg(F.min("conv_id").alias("conv_id")).select("conv_id"), "conv_id", "left_semi")
-    prefixes = _prefixes(kept.withColumn("weight", _weight()))
+    # What is used several times is written once: the conversations, and ids with weights of those that count.
+    whole = written(whole.withColumns({"digest": F.sha2(F.to_json(F.col("turns")), 256), "weight": _weight()}), "conversations")
+    firsts = whole.groupBy("digest").agg(F.min("conv_id").alias("conv_id")).select("conv_id")
+    prefixes = written(_prefixes(whole.join(firsts, "conv_id", "left_semi")), "requests")
     best = F.max(F.struct("weight", (-F.col("conv_id")).alias("last"))).alias("best")
     groups = prefixes.groupBy("prefix").agg(best, F.count("*").alias("n")).filter("n > 1")
     placed = prefixes.join(groups.select("prefix", (-F.col("best.last")).alias("chosen_id")), "prefix")
     longest = F.max(F.when(F.col("conv_id") != F.col("chosen_id"), F.struct("n_turns", "chosen_id"))).alias("longest")
-    shared = placed.groupBy("conv_id").agg(longest)
-    several = shared.filter("longest is not null").select(F.col("longest.chosen_id").alias("chosen_id"), F.col("conv_id").alias("rejected_id"))
-    alone = kept.join(shared.select("conv_id"), "conv_id", "left_anti")
-    return _formatted(whole, several, _swapped(alone, 4 * shuffle_partitions(turns), _next_different))
+    shared = written(placed.groupBy("conv_id").agg(longest).select("conv_id", "longest.chosen_id"), "shared")
+    several = shared.filter("chosen_id is not null").select("chosen_id", F.col("conv_id").alias("rejected_id"))
+    alone = whole.join(firsts, "conv_id", "left_semi").join(shared.select("conv_id"), "conv_id", "left_anti")
+    return _formatted(whole.select("conv_id", "turns"), several, _swapped(alone.select("conv_id", "turns"), _next_different))
