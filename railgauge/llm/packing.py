@@ -141,6 +141,20 @@ def _pack(window: int):
     return run
 
 
+def _numbered(pieces: DataFrame) -> DataFrame:
+    """The rows of a checkpoint with consecutive numbers, so that dealing by number fills every batch alike.
+
+    The checkpoint fixes which rows a partition has and their order, so numbers do not change when a task runs again.
+    """
+    own = F.monotonically_increasing_id()
+    placed = pieces.withColumns({"task": F.shiftright(own, 33).cast("int"), "place": own.bitwiseAND((1 << 33) - 1)})
+    sizes = sorted((row["task"], row["count"]) for row in placed.groupBy("task").count().collect())  # a row per partition
+    firsts = np.cumsum([0, *(size for _, size in sizes)]).tolist()
+    before = [(task, first) for (task, _), first in zip(sizes, firsts, strict=False)]
+    offsets = pieces.sparkSession.createDataFrame(before, "task int, first long")
+    return placed.join(F.broadcast(offsets), "task").withColumn("number", F.col("first") + F.col("place")).drop("task", "place", "first")
+
+
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int = 2, windows_in_batch: int = 128) -> DataFrame:
     """Per piece of docs (doc_id long, text): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -156,6 +170,5 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, end_id: int =
     rest = F.when(F.col("length") < window, F.col("length"))
     ids, count = pieces.agg(F.coalesce(F.sum(rest), F.lit(0)), F.count("*")).first()
     batches = max(1, -(-ids // (window * windows_in_batch)), -(-count // (window // 2)))
-    # The checkpoint fixes the rows' order, so their numbers do not change when a task runs again.
-    dealt = pieces.withColumn("batch", F.pmod(F.monotonically_increasing_id(), F.lit(batches)))
+    dealt = _numbered(pieces).withColumn("batch", F.pmod("number", F.lit(batches))).drop("number")
     return dealt.groupBy("batch").applyInPandas(_pack(window), PLACED)

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from railgauge.llm import tokenizing
-from railgauge.llm.packing import difference, divide, pack
+from railgauge.llm.common import cut
+from railgauge.llm.packing import _numbered, difference, divide, pack
 from railgauge.llm.queries import tokenizer_path
 
 PATH = tokenizer_path("word_bpe_49k.json")
@@ -62,5 +63,14 @@ def test_little_padding(spark, sf_dir):
     assert (4096 - rows).sum() <= 0.03 * 4096 * len(rows) + 4096
 
 
+def test_batches_are_dealt_evenly(spark):
+    """Many small partitions and a power of two of batches: every batch gets its share."""
+    pieces = cut(spark.range(4096).repartition(400))
+    numbered = _numbered(pieces)
+    assert sorted(r["number"] for r in numbered.collect()) == list(range(4096))
+    sizes = [r["count"] for r in numbered.selectExpr("number % 512 as batch").groupBy("batch").count().collect()]
+    assert len(sizes) == 512 and set(sizes) == {8}
+
+
 def test_no_rows(table):
     assert pack(table([]), PATH).collect() == []
