@@ -9,8 +9,12 @@
    and the confirmed links give components.
 4. Nodes that buckets connect, but that are not all in one component, form a cluster. Its nodes get a
    longer signature, and pairs in different components whose signatures come within five standard
-   errors of the similarity are checked too. Clusters are compared block by block, so a large one is
-   spread over many tasks. Pairs within a component need no check.
+   errors of the similarity are checked too. Pairs within a component need no check. A cluster of one
+   block of nodes is compared as a whole. In a larger one only nodes are compared that share one of
+   their rarest shingles: in one order of all shingles, by how often a block of nodes has them, two sets of the
+   similarity meet in the first n - ceil(similarity * n) + 1 of theirs, so no pair is lost, and texts of one
+   template that differ in words of their own meet nowhere. Shingles held by many nodes are compared block by
+   block, so a large one is spread over many tasks.
 
 Checks read the whole texts and count the intersection of the full sets.
 """
@@ -31,6 +35,8 @@ from .words import mix, shingle_hashes, slices, words_of
 ROWS, BANDS = 6, 42  # a pair at similarity 0.8 shares no band with probability 3e-6
 NO_ID = -(1 << 63)
 LONG, MARGIN, BLOCK = 1024, 5.0, 512  # coordinates and standard errors of the longer signature; nodes in a block
+COMMON = 10  # nodes of a block that have a shingle before it counts as common
+EARLIER = 32  # rarer shingles that a node brings along, so that a pair is not found again at each that it shares
 SIGMA_SEED, PI_SEED = 0x2545F491, 0x9E3779B9
 
 
@@ -178,8 +184,57 @@ def _sign(k: int):
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 signed = [row.tobytes() for row in long_signatures(*shingle_sets(part.column("text"), k))]
-                columns = {n: part.column(n) for n in ("cluster", "root", "node", "n_shingles", "blocks")}
-                yield pa.RecordBatch.from_pydict({**columns, "signature": pa.array(signed, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"node": part.column("node"), "signature": pa.array(signed, pa.binary())})
+
+    return run
+
+
+def _shingles_of(k: int):
+    """A row per shingle of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                values, starts = shingle_sets(part.column("text"), k)
+                cluster = np.repeat(part.column("cluster").to_numpy(), np.diff(starts))
+                yield pa.RecordBatch.from_pydict({"cluster": cluster, "shingle": values.view(np.int64)})
+
+    return run
+
+
+def rarest(values: np.ndarray, common: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of a set that one at least is shared with every set of the similarity.
+
+    common: rising shingles with their counts; all others come before them, by their own value.
+    """
+    size = len(values)
+    at = np.minimum(np.searchsorted(common, values), max(len(common) - 1, 0))
+    held = counts[at] * (common[at] == values) if len(common) else np.zeros(size, dtype=np.int64)
+    return values[np.lexsort((values, held))[: size - -(-percent * size // 100) + 1]]
+
+
+def _rarest(k: int, percent: int):
+    """Rows come sorted by cluster and block, the common shingles of the cluster before its texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = counts = np.empty(0, dtype=np.uint64)
+        for batch in batches:
+            first = np.flatnonzero(~batch.column("common").is_null().to_numpy(zero_copy_only=False)).tolist()
+            for a, b in zip([0, *first], [*first, batch.num_rows], strict=True):
+                rows = batch.slice(a, b - a)
+                if a < b and a in first:
+                    shingles, held = (part.to_numpy() for part in rows.column("common")[0].values.flatten())
+                    order = np.argsort(shingles.view(np.uint64))
+                    common, counts = shingles.view(np.uint64)[order], held[order]
+                    rows = rows.slice(1)
+                for part in slices(rows, "text", 1 << 20):
+                    values, starts = shingle_sets(part.column("text"), k)
+                    found = [rarest(values[x:y], common, counts, percent) for x, y in zip(starts[:-1], starts[1:], strict=True)]
+                    each = [len(f) for f in found]
+                    columns = {n: np.repeat(part.column(n).to_numpy(), each) for n in ("cluster", "root", "node", "n_shingles")}
+                    tokens = np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64)
+                    before = [f[max(0, j - EARLIER) : j].tobytes() for f in found for j in range(len(f))]
+                    yield pa.RecordBatch.from_pydict({**columns, "token": tokens, "before": pa.array(before, pa.binary())})
 
     return run
 
@@ -188,23 +243,25 @@ def _near(rows: list[dict], percent: int) -> list[tuple[int, int]]:
     """Pairs (larger node, smaller node) of one pair of blocks that the long signatures leave open.
 
     Rows of the first block come with side 0, of the second with side 1; a block with itself has side 0 only.
+    Nodes that share an earlier shingle meet there too, so the pair is left to it.
     """
     signatures = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint8).reshape(len(rows), LONG)
     node, root, size, side = (np.array([r[n] for r in rows]) for n in ("node", "root", "n_shingles", "side"))
     share = percent / 100
     least = LONG * (share - MARGIN * np.sqrt(share * (1 - share) / LONG))
+    earlier = [frozenset(np.frombuffer(r["before"], np.int64).tolist()) for r in rows]
     out = []
     for a in np.flatnonzero(side == 0):
         others = np.flatnonzero(side == 1) if (side == 1).any() else np.arange(a + 1, len(rows))
         fits = 100 * np.minimum(size[others], size[a]) >= percent * np.maximum(size[others], size[a])
         others = others[fits & (root[others] != root[a])]
         alike = (signatures[others] == signatures[a]).sum(axis=1)
-        out += [(max(node[a], node[b]), min(node[a], node[b])) for b in others[alike >= least]]
+        out += [(max(node[a], node[b]), min(node[a], node[b])) for b in others[alike >= least] if earlier[a].isdisjoint(earlier[b])]
     return out
 
 
 def _compare_blocks(percent: int):
-    """Rows come sorted by cluster and pair of blocks; one pair of blocks is held at a time."""
+    """Rows come sorted by cluster, token and pair of blocks; one pair of blocks is held at a time."""
 
     def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({n: pa.array([p[i] for p in pairs], pa.int64()) for i, n in enumerate("ab")})
@@ -214,7 +271,7 @@ def _compare_blocks(percent: int):
         for batch in batches:
             found: list[tuple[int, int]] = []
             for row in batch.to_pylist():
-                now = (row["cluster"], row["low"], row["high"])
+                now = (row["cluster"], row["token"], row["low"], row["high"])
                 if now != key:
                     found += _near(held, percent) if held else []
                     key, held = now, []
@@ -227,9 +284,10 @@ def _compare_blocks(percent: int):
 
 
 def _texts(nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """node, text: one text per node, fetched by its document."""
+    """node, text: one text per node, fetched by its document and the hash of its text."""
     return (
-        nodes.select("node", "doc_id", "set_id").join(docs, "doc_id").select("node", "set_id", "text")
+        nodes.select("node", "id", "text_key", "set_id").join(docs.select(_id(), "text_key", "text"), ["id", "text_key"])
+        .select("node", "set_id", "text")
         .mapInArrow(_same_sets(k), "node long, text string").dropDuplicates(["node"])
     )
 
@@ -246,16 +304,49 @@ def _text_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
 
 
+def _id() -> Column:
+    return F.coalesce("doc_id", F.lit(NO_ID)).alias("id")
+
+
+def _meetings(placed: DataFrame, mixed: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """cluster, token, blocks, root, node, n_shingles, before: nodes that are to be compared with all of their cluster and token.
+
+    Clusters of one block have the token 0. In larger ones a token is a shingle among the rarest of its nodes,
+    in different components.
+    """
+    nodes = placed.join(mixed, "cluster")
+    columns = ["cluster", "token", "blocks", "root", "node", "n_shingles", "before"]
+    small = nodes.filter("blocks = 1").withColumns({"token": F.lit(0).cast("long"), "before": F.lit(b"")}).select(*columns)
+    large = nodes.filter("blocks > 1").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(texts, "node")
+    # The nodes of one block say how common a shingle is; the order may be any, a good one only saves work. A
+    # cluster has at most BLOCK / COMMON times as many common shingles as a set of it has on average.
+    seen = large.filter("block = 0").select("cluster", "text").mapInArrow(_shingles_of(k), "cluster long, shingle long")
+    seen = seen.groupBy("cluster", "shingle").agg(F.count("*").alias("count")).filter(F.col("count") >= COMMON)
+    common = seen.groupBy("cluster").agg(F.collect_list(F.struct("shingle", "count")).alias("common"))
+    heads = mixed.filter("blocks > 1").join(common, "cluster", "left").select(
+        "cluster", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
+        F.coalesce("common", F.expr("cast(array() as array<struct<shingle:bigint,count:bigint>>)")).alias("common"),
+    )
+    rows = large.select("cluster", "block", "root", "node", "n_shingles", "text").unionByName(heads, allowMissingColumns=True)
+    rows = rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", F.col("common").isNull())
+    tokens = rows.mapInArrow(_rarest(k, percent), "cluster long, root long, node long, n_shingles long, token long, before binary")
+    tokens = cut(tokens)
+    shared = tokens.groupBy("cluster", "token").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.count("*").alias("n"))
+    shared = shared.filter("first < last").select("cluster", "token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    return small.unionByName(tokens.join(shared, ["cluster", "token"]).select(*columns))
+
+
 def _judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Per row: doc_id, text_key, n_shingles, root (of its group; null without words), component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key())
     sketches = cut(docs.mapInArrow(_sketch(k), "doc_id long, text_key long, n_shingles long, set_id binary, keys binary"))
     nodes = sketches.filter("set_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull().alias("without"), _id(), "text_key")).alias("row"),
+        F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"),
     )
     nodes = cut(nodes.repartition("set_id").withColumn("node", F.monotonically_increasing_id()))
-    named = nodes.select("node", "set_id", "doc_id", "n_shingles")
-    entries = nodes.filter("doc_id is not null").select("node", "n_shingles", "keys").mapInArrow(
+    named = nodes.select("node", "set_id", "doc_id", "row.id", "row.text_key", "n_shingles")
+    entries = nodes.select("node", "n_shingles", "keys").mapInArrow(
         _explode_keys, "key long, node long, n_shingles long"
     )
     buckets = entries.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last")
@@ -268,18 +359,16 @@ def _judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
     placed = cut(placed.join(named.select("node", "n_shingles"), "node"))
     mixed = placed.groupBy("cluster").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.count("*").alias("n"))
     mixed = mixed.filter("first < last").select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    signed = placed.join(mixed, "cluster").join(texts, "node").mapInArrow(
-        _sign(k), "cluster long, root long, node long, n_shingles long, blocks int, signature binary"
-    )
+    met = cut(_meetings(placed, mixed, texts, k, percent))
+    signed = met.select("node").distinct().join(texts, "node").mapInArrow(_sign(k), "node long, signature binary")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.expr("sequence(0, blocks - 1)"))
-    dealt = signed.withColumn("block", block).withColumn("other", other).select(
-        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"), "root", "node", "n_shingles", "signature",
-    )
-    open_pairs = dealt.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high").mapInArrow(
-        _compare_blocks(percent), "a long, b long"
+    dealt = met.join(signed, "node").withColumn("block", block).withColumn("other", other).select(
+        "cluster", "token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "root", "node", "n_shingles", "before", "signature",
     )
+    keys = ["cluster", "token", "low", "high"]
+    open_pairs = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compare_blocks(percent), "a long, b long").distinct()
     links = links.unionByName(_links(cut(open_pairs.join(to_leader, ["a", "b"], "left_anti")), texts, k, percent))
     reached = named.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = reached.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -299,8 +388,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     distinct k-word shingles; two texts are linked when 100 * intersection >= percent * union.
     component_id is the smallest doc_id reachable over links, kept says that it is the row's own.
     Null texts and texts without words have an empty set and are linked with nothing. Rows that
-    share a doc_id are separate documents. A text all of whose rows lack a doc_id is linked with none but
-    its equals; there component_id is null and every row is kept. Other columns are ignored.
+    share a doc_id are separate documents. Rows without a doc_id are linked like others; where no row of a
+    group has one, component_id is null and every row is kept. Other columns are ignored.
     """
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return _judged(docs, k, percent).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))

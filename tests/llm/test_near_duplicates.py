@@ -4,8 +4,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from railgauge.llm import near_duplicates as near_duplicates_module
 from railgauge.llm.components import components
-from railgauge.llm.near_duplicates import LONG, drop_near_duplicates, long_signatures, near_duplicates, shingle_sets
+from railgauge.llm.near_duplicates import LONG, drop_near_duplicates, long_signatures, near_duplicates, rarest, shingle_sets
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -65,6 +66,53 @@ def test_family_against_all_pairs(table, k):
     assert got(near_duplicates(table(rows), k)) == expected
 
 
+@pytest.mark.parametrize("block", [4, 16])
+def test_large_clusters_against_all_pairs(table, monkeypatch, block):
+    """Clusters of several blocks go by their rarest shingles, and lose no pair."""
+    monkeypatch.setattr(near_duplicates_module, "BLOCK", block)
+    monkeypatch.setattr(near_duplicates_module, "COMMON", 2)
+    rows = family(6, 120)
+    assert got(near_duplicates(table(rows), 4)) == plain(rows, 4)
+
+
+def test_template_below_the_similarity_meets_nowhere(spark, table, monkeypatch):
+    """Texts of one template, each with words of its own: rows to compare do not grow with the pairs."""
+    monkeypatch.setattr(near_duplicates_module, "BLOCK", 32)
+    rng = random.Random(8)
+    base, rows = [f"v{i}" for i in range(200)], []
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(200), 14):
+            words[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(words)))
+    met, real = [], near_duplicates_module._meetings
+    monkeypatch.setattr(near_duplicates_module, "_meetings", lambda *a: met.append(real(*a)) or met[-1])
+    found = got(near_duplicates(table(rows), 4))
+    assert {r[2] for r in found} == set(range(400))
+    assert met[0].count() < 3 * len(rows)
+
+
+def test_rarest_shingles_of_alike_sets_meet():
+    rng = np.random.default_rng(3)
+    for _ in range(500):
+        both = rng.integers(0, 1 << 62, rng.integers(1, 60), dtype=np.uint64)
+        a, b = (np.unique(np.append(both, rng.integers(0, 1 << 62, rng.integers(0, 12), dtype=np.uint64))) for _ in "ab")
+        common = np.unique(rng.choice(both, min(len(both), 20)))
+        counts = rng.integers(1, 5, len(common))
+        shared = len(np.intersect1d(a, b))
+        if 100 * shared >= 80 * (len(a) + len(b) - shared):
+            assert len(np.intersect1d(rarest(a, common, counts, 80), rarest(b, common, counts, 80)))
+
+
+def test_near_copies_without_an_id_are_linked(table):
+    words = [f"w{i}" for i in range(100)]
+    near = " ".join([*words[:99], "other"])
+    rows = [(None, " ".join(words)), (None, near), (7, " ".join(["other", *words[1:]])), (None, "all alone here with words")]
+    assert got(near_duplicates(table(rows), 4)) == plain(rows, 4)
+    left = drop_near_duplicates(table(rows[:2] + rows[3:]), 4).collect()
+    assert len(left) == 2
+
+
 def test_awkward_rows(table, awkward):
     assert got(near_duplicates(table(awkward), 4)) == plain(awkward, 4)
 
