@@ -2,6 +2,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -19,17 +20,16 @@ def words(text):
 
 def plain_runs(w):
     """Every lag on its own: the stretches that agree with themselves, without those of a smaller period."""
+    number = {}
+    codes = np.array([number.setdefault(x, len(number)) for x in w], dtype=np.int64)
     out = []
     for q in range(1, len(w) // 4 + 1):
-        i = 0
-        while i + q < len(w):
-            j = i
-            while j + q < len(w) and w[j] == w[j + q]:
-                j += 1
+        same = np.concatenate([[False], codes[q:] == codes[:-q], [False]])
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        for i, j in edges.reshape(-1, 2).tolist():
             length, part = j + q - i, w[i : j + q]
-            if j > i and length >= max(6, 4 * q) and not any(part[p:] == part[:-p] for p in range(1, q)):
+            if length >= max(6, 4 * q) and not any(part[p:] == part[:-p] for p in range(1, q)):
                 out.append((i, length, q))
-            i = max(j, i + 1)
     return sorted(out, key=lambda r: (r[0], r[2]))
 
 
