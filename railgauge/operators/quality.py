@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
+from ..sources import versions
 from .aggregates import SEVERITIES
 
 HEADWAY_LABELS = tuple(label for _, label in fv.HEADWAY_BOUNDS) + (fv.HEADWAY_OVER, fv.HEADWAY_UNKNOWN)
@@ -74,6 +75,19 @@ def check_not_null(df: DataFrame, model: str, columns: Sequence[str]) -> DataFra
     return _one_pass(df, model, [(column, "not_null", F.col(column).isNull()) for column in columns])
 
 
+def stored_not_null(spark: SparkSession, root: str, model: str, columns: Sequence[str]) -> DataFrame:
+    """``check_not_null`` of a versioned table, from what its writes have counted: no column is read."""
+    nulls = versions.statistics(spark, root)["nulls"]
+    rows = [(model, column, "not_null", nulls[column]) for column in columns]
+    return spark.createDataFrame(rows, "model string, column_name string, check_name string, failures bigint")
+
+
+def stored_freshness(spark: SparkSession, root: str, column: str = "window_start") -> DataFrame:
+    """The newest time in a versioned table, from what its writes have noted: no column is read."""
+    newest = versions.statistics(spark, root)["newest"][column]
+    return spark.range(1).select(F.timestamp_micros(F.lit(newest).cast("bigint")).alias("newest_window"))
+
+
 def check_accepted(df: DataFrame, model: str, accepted: Mapping[str, Sequence[str]]) -> DataFrame:
     """A null is no failure here; ``check_not_null`` counts those."""
     checks = [(column, "accepted_values", ~F.col(column).isin(*values)) for column, values in accepted.items()]

@@ -800,3 +800,7 @@ SQL["stream_event_time_windows"] = SQL["stream_landing_root"]
 SQL["incremental_fact"] = SQL["fct_performance"]
 SQL["incremental_weather"] = SQL["dim_weather_conditions"]
 SQL["incremental_alerts"] = SQL["stg_alerts"]
+SQL["stored_freshness"] = SQL["data_freshness"]
+SQL["stored_not_null"] = using(
+    "features", query=failures("features", "features", ["route_id", "avg_headway_gap_sec", "temperature_c"])
+)

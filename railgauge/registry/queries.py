@@ -454,6 +454,26 @@ def data_freshness(spark, sf_dir):
     return aggregates.freshness(aggregates.delays_by_window(views.delays(spark, sf_dir)))
 
 
+@query
+def stored_freshness(spark, sf_dir):
+    """Of a window table of which a third of the dates has been replaced since."""
+    root = scratch_dir(spark, "stored")
+    windows = aggregates.delays_by_window(views.delays(spark, sf_dir))
+    days = stream_windows.dates_of(windows, "window_start")
+    stream_windows.replace_dates(windows, root, days)
+    some = {day for day in days if day.day % 3 == 0}
+    stream_windows.replace_dates(windows.filter(stream_windows.between_dates("window_start", some)), root, some)
+    return quality.stored_freshness(spark, root)
+
+
+@query
+def stored_not_null(spark, sf_dir):
+    """Windows without a gap or without weather, of the stored features."""
+    root = scratch_dir(spark, "stored")
+    sinks.save_features(_features(spark, sf_dir), root)
+    return quality.stored_not_null(spark, root, "features", ["route_id", "avg_headway_gap_sec", "temperature_c"])
+
+
 # --- headway -----------------------------------------------------------------------------
 
 GAP_COLUMNS = ["feed_seq", "route_id", "stop_id", "mta_timestamp", "headway_gap_sec"]
