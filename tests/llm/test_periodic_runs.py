@@ -95,7 +95,7 @@ def test_loops_and_digests(table, awkward):
     rows = [(i, awkward[i % 30][1]) for i in range(100, 400)] + awkward
     found = periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.with_loops(table(rows)))).collect()
     assert sorted(map(tuple, found), key=repr) == sorted((digest_row(*r) for r in rows), key=repr)
-    assert sum(r["n_runs"] for r in found) > 20
+    assert sum(r["n_runs"] for r in found) >= 10  # the loops of a tenth of the rows, if nothing else
 
 
 def test_no_rows(table):
