@@ -3,8 +3,9 @@
 A late report changes two gaps: its own and the next one's, and only a gap up to the cap counts. So each
 micro-batch is stored, and the hours it touches, with those that the cap reaches after them, are computed
 again from the stored rows of these hours and those that the cap reaches before them. That
-makes the table equal to the batch result for any lateness, and a replayed batch harmless. The hours are replaced
-in one step, so a reader sees the table before the batch or after it.
+makes the table equal to the batch result for any lateness, and a replayed batch harmless. The table lies in parts of
+some hours; a part's other hours are copied from its last state. All parts of a batch are replaced in one step, so a
+reader sees the table before the batch or after it.
 
 Rows without a time lie apart, in parts by a hash of their stop: a batch that has some computes the parts of
 its own stops again and no others.
@@ -14,6 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +31,10 @@ from ..sources.storage import validate_count
 from ..sources.tables import DATE_COLUMN, NO_DATE, STREAM_FOLDER, read_processed, vehicle_date
 from .sinks import BATCH_COLUMN, BatchWriter
 
-HOUR_COLUMN = "event_hour"
-LAYOUT = (DATE_COLUMN, HOUR_COLUMN)
-#: Parts of the rows without a time.
-BUCKETS = 64
+PART_COLUMN = "event_part"
+LAYOUT = (DATE_COLUMN, PART_COLUMN)
+#: Hours in a part of the table, and parts of the rows without a time.
+PART_HOURS, BUCKETS = 6, 64
 #: Hours that the cap reaches over.
 HALO = -(-fv.GAP_CAP_SECONDS // 3600)
 #: A date and an hour of it; without a time NO_DATE and a bucket.
@@ -51,9 +54,11 @@ def headway_tables(
         spark = batch.sparkSession
         touched = _store(batch, landing, batch_id)
         if touched:
-            replaced = _recompute(spark, landing, f"{table.rstrip('/')}/{STREAM_FOLDER}", touched)
+            kept = f"{table.rstrip('/')}/{STREAM_FOLDER}"
+            replaced = _recompute(spark, landing, kept, touched)
             if noted is not None:
-                noted(versions.read(spark, f"{table.rstrip('/')}/{STREAM_FOLDER}", parts=_parts(replaced)).drop(*LAYOUT), batch_id)
+                rows = versions.read(spark, kept, parts=_parts(replaced))
+                noted(rows.filter(_in_slots(F.col("mta_timestamp"), replaced)).drop(*LAYOUT), batch_id)
 
     return write
 
@@ -127,23 +132,33 @@ def rows_of_slots(spark: SparkSession, landing: str, slots: set[Slot]) -> DataFr
     return rows.filter(wanted).drop(DATE_COLUMN, BATCH_COLUMN)
 
 
+def _part(day: date, hour: int) -> int:
+    return hour if day == NO_DATE else hour // PART_HOURS
+
+
 def _parts(slots: Iterable[Slot]) -> list[str]:
-    return [versions.part(**dict(zip(LAYOUT, (day.isoformat(), hour), strict=True))) for day, hour in slots]
+    """The parts of the table that hold some slots."""
+    return sorted({versions.part(**{DATE_COLUMN: day.isoformat(), PART_COLUMN: _part(day, hour)}) for day, hour in slots})
 
 
-def _recompute(spark: SparkSession, landing: str, table: str, touched: set[Slot]) -> set[Slot]:
-    """Replace the touched slots and those that the cap reaches after them; returns them."""
-    replaced = reached(touched, HALO)
-    gaps = clean_positions(rows_of_slots(spark, landing, reached(replaced, -HALO)))
-    time = F.col("mta_timestamp")
-    dated = gaps.withColumns({DATE_COLUMN: vehicle_date(time), HOUR_COLUMN: _hour(time)})
+def _in_slots(time: Column, slots: Iterable[Slot]) -> Column:
     by_date: dict[date, list[int]] = {}
-    for day, hour in replaced:
+    for day, hour in sorted(slots):
         by_date.setdefault(day, []).append(hour)
-    kept = F.lit(False)
-    for day, hours in sorted(by_date.items()):
-        kept = kept | ((F.col(DATE_COLUMN) == F.lit(day)) & F.col(HOUR_COLUMN).isin(*hours))
-    versions.replace(dated.filter(kept).hint("rebalance", *LAYOUT), table, LAYOUT, _parts(replaced))
+    days = [(vehicle_date(time) == F.lit(day)) & _hour(time).isin(*hours) for day, hours in by_date.items()]
+    return reduce(or_, days, F.lit(False))
+
+
+def _recompute(spark: SparkSession, landing: str, table: str, touched: set[Slot]) -> set[Slot]:
+    """Replace the touched slots and those that the cap reaches after them; returns them."""
+    replaced, time = reached(touched, HALO), F.col("mta_timestamp")
+    gaps = clean_positions(rows_of_slots(spark, landing, reached(replaced, -HALO))).filter(_in_slots(time, replaced))
+    layout = f"{schemas.POSITIONS.rstrip()}, {DATE_COLUMN} date, {PART_COLUMN} int"
+    others = versions.read(spark, table, layout, _parts(replaced)).filter(~_in_slots(time, replaced)).drop(*LAYOUT)
+    hour = _hour(time)
+    number = F.when(vehicle_date(time) == F.lit(NO_DATE), hour).otherwise(F.floor(hour / PART_HOURS).cast("int"))
+    dated = gaps.unionByName(others).withColumns({DATE_COLUMN: vehicle_date(time), PART_COLUMN: number})
+    versions.replace(dated.hint("rebalance", *LAYOUT), table, LAYOUT, _parts(replaced))
     return replaced
 
 

@@ -124,8 +124,8 @@ def test_a_batch_reads_no_hour_further_than_the_cap(spark, tmp_path):
     low = int((START + timedelta(hours=29) - datetime(1970, 1, 1)).total_seconds())
     assert f"GreaterThanOrEqual(mta_timestamp,{low})" in pushed and f"LessThan(mta_timestamp,{low + 3 * 3600})" in pushed
     names = versions.current(spark, f"{table}/{tables.STREAM_FOLDER}")["parts"]
-    first = names["event_date=2024-01-01/event_hour=0"]
-    assert [n for n, v in sorted(names.items()) if v != first] == ["event_date=2024-01-02/event_hour=6", "event_date=2024-01-02/event_hour=7"]
+    first = names["event_date=2024-01-01/event_part=0"]
+    assert [n for n, v in sorted(names.items()) if v != first] == ["event_date=2024-01-02/event_part=1"]
     same(headway.read_headways(spark, table), processing.clean_positions(spark.read.parquet(landing).drop("event_date", "batch_id")))
 
 
@@ -146,7 +146,7 @@ def test_rows_without_time_stay_apart(spark, tmp_path):
         versions_of.append(versions.current(spark, f"{table}/{tables.STREAM_FOLDER}")["parts"])
         stored = spark.read.schema(f"{schemas.RAW_POSITIONS}, event_date date, batch_id bigint").parquet(landing)
         same(headway.read_headways(spark, table), processing.clean_positions(stored.drop("event_date", "batch_id")))
-    assert versions_of[0]["event_date=2024-01-01/event_hour=0"] == versions_of[-1]["event_date=2024-01-01/event_hour=0"]
+    assert versions_of[0]["event_date=2024-01-01/event_part=0"] == versions_of[-1]["event_date=2024-01-01/event_part=0"]
 
 
 def test_slots_reach_over_days():
