@@ -3,10 +3,10 @@
 1. Terms are the benchmark's words, hashed to a bounded number of columns; other words add nothing to a
    product with an item. Their document frequencies are counted over all documents.
 2. Documents are cut into overlapping passages, and a passage is a TF-IDF row. A randomised range finder
-   runs over the passages of a bounded sample of documents and the items: every task adds up its rows'
-   share of A'(A W) for a random W, and only those sums, of a fixed size, are added together. Items are
-   weighted, so that the space keeps their directions however rarely they occur. An item that is much
-   longer than a passage is cut into pieces of a passage's length, which are searched for one by one.
+   runs over the passages of all documents and the items: every task adds up its rows' share of A'(A W)
+   for a random W, and only those sums, of a fixed size, are added together. Items are weighted, so that
+   the space keeps their directions however rarely they occur. An item that is much longer than a passage
+   is cut into pieces of a passage's length, which are searched for one by one.
 3. All passages and pieces are compared by cosine in that space; passages whose terms cannot reach the
    cosine with any piece, however they are weighted, are passed over. A candidate is confirmed on the
    passage with its neighbourhood: the longest common subsequence of words must hold most of the whole
@@ -38,7 +38,7 @@ ITEM_WEIGHT = 30.0
 COMMON, FEWEST = 0.1, 8  # share of documents from which a word is common; other words that an item should have
 SHORT = 12  # words; items with fewer are also looked for in windows of their own
 PAIRS = 1 << 21  # pairs of a passage and a short item that are counted at a time
-FIT_DOCUMENTS = 20_000  # the space is fitted on about as many documents; all are searched
+SUMS, ENTRIES = 2048, 16  # sums that are built up at a time, to stay in the cache; entries in a part of a long one
 
 #: Bytes that part words here: white space and ASCII punctuation.
 MARKS = bytes(c for c in range(128) if not chr(c).isalnum())
@@ -122,12 +122,37 @@ def _passages(part: pa.RecordBatch, row_of: np.ndarray, idf: np.ndarray):
     return words, cells // len(idf), cells % len(idf), (1 + np.log(n)) * idf[cells % len(idf)], text, first
 
 
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+
+
+def _sums(starts: np.ndarray, row: np.ndarray, weight: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Per run of entries, from one start to the next, the sum of weight * table[row].
+
+    All runs get their first entries, then those that have them their second ones, and so on.
+    """
+    size = np.diff(starts, append=len(row))
+    weight = weight.astype(np.float32)[:, None]
+    out = np.empty((len(starts), table.shape[1]), np.float32)
+    one = np.empty((min(len(starts), SUMS), table.shape[1]), np.float32)
+    for a in range(0, len(starts), SUMS):
+        order = a + np.argsort(-size[a : a + SUMS], kind="stable")
+        begin, rising = starts[order], size[order][::-1]
+        total = np.zeros((len(order), table.shape[1]), np.float32)
+        for k, m in enumerate(len(order) - np.searchsorted(rising, np.arange(rising[-1]), "right")):
+            entry = begin[:m] + k
+            np.take(table, row[entry], axis=0, out=one[:m], mode="clip")
+            one[:m] *= weight[entry]
+            total[:m] += one[:m]
+        out[order] = total
+    return out
+
+
 def _project(passage: np.ndarray, row: np.ndarray, weight: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The passages that have terms, and A basis for them."""
-    starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]]) if len(passage) else np.empty(0, np.int64)
-    if not len(starts):
-        return starts, np.empty((0, basis.shape[1]), np.float32)
-    return passage[starts], np.add.reduceat(basis[row] * weight[:, None].astype(np.float32), starts, axis=0)
+    starts = _starts(passage)
+    return passage[starts], _sums(starts, row, weight, basis)
 
 
 def _range_sums(row_of: np.ndarray, idf: np.ndarray, start: np.ndarray):
@@ -139,12 +164,15 @@ def _range_sums(row_of: np.ndarray, idf: np.ndarray, start: np.ndarray):
             for part in slices(batch, "text", 1 << 20):
                 _, passage, row, weight, _, _ = _passages(part, row_of, idf)
                 found, product = _project(passage, row, weight, start)
-                at = np.searchsorted(found, passage)
-                order = np.argsort(row, kind="stable")
-                for a in range(0, len(order), 1 << 15):  # a bounded slice of the products at a time
-                    some = order[a : a + (1 << 15)]
-                    begins = np.flatnonzero(np.r_[True, row[some][1:] != row[some][:-1]])
-                    total[row[some][begins]] += np.add.reduceat(product[at[some]] * weight[some, None], begins, axis=0)
+                order = np.argsort(row.astype(np.uint16), kind="stable")  # there are 2**TERM_BITS rows at most
+                at, row, weight = np.searchsorted(found, passage)[order], row[order], weight[order]
+                # A frequent term's passages are added up in parts of equal size, and then the parts.
+                starts = _starts(row)
+                place = np.arange(len(row)) - np.repeat(starts, np.diff(starts, append=len(row)))
+                parts = np.flatnonzero(place % ENTRIES == 0)
+                of_parts = _sums(parts, at, weight, product)
+                of_rows = _sums(np.searchsorted(parts, starts), np.arange(len(parts)), np.ones(len(parts)), of_parts)
+                total[row[starts]] += of_rows
         used = np.flatnonzero(np.abs(total).sum(axis=1))
         values = [total[r].astype(np.float32).tobytes() for r in used]
         yield pa.RecordBatch.from_pydict({"row": pa.array(used, pa.int64()), "values": pa.array(values, pa.binary())})
@@ -201,10 +229,8 @@ def build_space(docs: DataFrame, item_ids: list[int], texts: list[str]) -> Space
     left_out = np.bincount(item_of[cells // rows], weights=n * ~used, minlength=len(texts))
 
     width = min(RANK + OVERSAMPLING, rows)
-    share = 1 << 30 if n_docs <= FIT_DOCUMENTS else (1 << 30) * FIT_DOCUMENTS // n_docs
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < share)
     start = np.random.default_rng(11).standard_normal((rows, width)).astype(np.float32)
-    partial = sample.select("text").mapInArrow(_range_sums(row_of, idf, start), "row long, values binary")
+    partial = docs.select("text").mapInArrow(_range_sums(row_of, idf, start), "row long, values binary")
     summed = partial.repartition("row").mapInArrow(_add_rows, "row long, values binary")
     sums = np.zeros((rows, width))
     for r in summed.collect():  # at most 2**TERM_BITS rows of a fixed width
