@@ -212,3 +212,12 @@ def test_space_is_fitted_on_every_document(spark, tmp_path, monkeypatch):
 
     held = held_of_rare_passages(spark, tmp_path, monkeypatch, op5_decontamination)
     assert held.min() > 0.99
+
+
+def test_space_of_the_pipeline_is_fitted_on_every_document(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    def stage(spark, folder):
+        return dict(corpus_pipeline.STAGES)["decontaminate"](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+
+    assert held_of_rare_passages(spark, tmp_path, monkeypatch, stage).min() > 0.99
